@@ -266,7 +266,7 @@ def normalize_timestamps(df: DataFrame, value: str, zone: Column, month_first: C
 
     # The hints of an iterator UDF, given as values because annotations of this module are strings.
     convert.__annotations__ = {"batches": Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]], "return": Iterator[pd.Series]}
-    udf = F.pandas_udf(convert, "bigint")
+    udf = F.pandas_udf(convert, "bigint").asNondeterministic()  # else a filter on the result evaluates it again
     clean = F.regexp_replace(F.col(value), r"^[\s ]+|[\s ]+$", "")
     clean = F.when((F.length(F.col(value)) <= MAX_LENGTH) & (clean != ""), clean)
     clean = F.regexp_replace(clean, r"[\s ]", " ")
