@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslake.llm import encoding
-from presslake.session import table
+from presslake.llm import canonical, encoding, lines
+from presslake.session import bounded_rows, table
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,5 +23,59 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.where("affected").select("id", "field_name", F.when(F.col("value").contains("�"), F.lit("")).otherwise(F.md5(F.col("restored").cast("binary"))).alias("restored_md5"))
 
 
-QUERIES = {"p1_found": p1_found}
+def _portal_entries(spark: SparkSession, sf_dir: str) -> list:
+    rows = bounded_rows(table(spark, sf_dir, "portals").select("portal_id", "source_name", "display_name"), canonical.MAX_ENTRIES, "portals")
+    return [(r[0], (r[1], r[2])) for r in rows]
+
+
+def _category_entries(spark: SparkSession, sf_dir: str) -> list:
+    rows = bounded_rows(table(spark, sf_dir, "category_ref").select("category_id", "name_az", "name_ru", "name_en"), canonical.MAX_ENTRIES, "category_ref")
+    return [(r[0], (r[1], r[2], r[3])) for r in rows]
+
+
+def _typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(field_name, id, value, matches) of every value that isn't a canonical name, null, '' or ``uncategorized``."""
+    articles = table(spark, sf_dir, "articles")
+    portals, categories = _portal_entries(spark, sf_dir), _category_entries(spark, sf_dir)
+    parts = []
+    for field, entries in (("category", categories), ("source_name", portals)):
+        rows = articles.select(F.lit(field).alias("field_name"), "id", F.col(field).alias("value"))
+        rows = rows.where(F.col("value").isNotNull() & ~F.col("value").isin("", "uncategorized", *[names[0] for _, names in entries]))
+        parts.append(canonical.with_matches(rows, "value", entries))
+    return parts[0].unionByName(parts[1])
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reference entry of each freely typed category and source name, 0 if none fits."""
+    best = F.coalesce(F.try_element_at("matches", F.lit(1))["ref_id"], F.lit(0))
+    return _typed(spark, sf_dir).select("field_name", "id", best.alias("ref_id"))
+
+
+def p6_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values without an entry, and how many articles have them."""
+    missed = _typed(spark, sf_dir).where(F.size("matches") == 0)
+    return missed.groupBy("field_name", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _articles_with_portal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, portal_id, content_text) of articles; the portal is that of p6, null if there is none."""
+    entries = _portal_entries(spark, sf_dir)
+    exact = F.create_map(*[F.lit(x) for i, names in entries for x in (names[0], i)]) if entries else F.lit(None)
+    rows = table(spark, sf_dir, "articles").select("id", "content_text", "source_name")
+    rows = rows.withColumn("exact_id", exact[F.col("source_name")] if entries else F.lit(None).cast("int"))
+    rows = canonical.with_matches(rows.withColumn("typed", F.when(F.col("exact_id").isNull(), F.col("source_name"))), "typed", entries)
+    return rows.select("id", F.coalesce("exact_id", F.try_element_at("matches", F.lit(1))["ref_id"]).alias("portal_id"), "content_text")
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines repeated within their portal, by article and number of the line."""
+    return lines.repeated_places(_articles_with_portal(spark, sf_dir), "id", "portal_id", "content_text").select("id", "line_no")
+
+
+def p7_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All articles with the text left when repeated lines are removed."""
+    return lines.without_repeated(_articles_with_portal(spark, sf_dir), "id", "portal_id", "content_text")
+
+
+QUERIES = {"p1_found": p1_found, "p6_found": p6_found, "p6_unmatched": p6_unmatched, "p7_found": p7_found, "p7_clean": p7_clean}
 SQL: dict[str, str] = {}
