@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslake.llm import canonical, encoding, lines
+from presslake.llm import canonical, encoding, lines, tokenizer
 from presslake.session import bounded_rows, table
 
 
@@ -77,5 +77,18 @@ def p7_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.without_repeated(_articles_with_portal(spark, sf_dir), "id", "portal_id", "content_text")
 
 
-QUERIES = {"p1_found": p1_found, "p6_found": p6_found, "p6_unmatched": p6_unmatched, "p7_found": p7_found, "p7_clean": p7_clean}
+def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document by byte_bpe_50k."""
+    return tokenizer.encode_texts(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+def p8_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids decoded again: documents by whether the text came back."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    decoded = tokenizer.decode_ids(p8_ids(spark, sf_dir), "ids")
+    same = F.col("decoded") == F.coalesce("text", F.lit(""))
+    return decoded.join(documents, "doc_id").groupBy(same.alias("same")).agg(F.count(F.lit(1)).alias("n_docs"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p6_found, p6_unmatched, p7_found, p7_clean, p8_ids, p8_round_trip)}
 SQL: dict[str, str] = {}
