@@ -97,17 +97,19 @@ def encode_texts(df: DataFrame, key: str, text: str, out: str = "ids", tokenizer
     ranks = load_ranks(tokenizer, folder)
     docs = df.select(F.col(key).alias("k"), F.col(text).alias("t"))
     vocab = vocabulary(docs, "t", ranks)
-    top = bounded_rows(vocab.where(F.length("word") <= COMMON_LENGTH).orderBy(F.desc("n"), "word").limit(COMMON_WORDS), COMMON_WORDS, "common words")
-    common = _buckets([(r.word, list(r.ids)) for r in top], COMMON_BUCKETS, "array<int>")
-    known = lambda w: _find(common, COMMON_BUCKETS, w)
-    # Parts are token lists, or a one-element array of the word's place holder where it has to be joined.
-    split = docs.select("k", words_of(F.coalesce("t", F.lit(""))).alias("words"))
-    parts = split.select("k", F.transform("words", lambda w: F.struct(known(w).alias("ids"), w.alias("w"))).alias("parts"))
-    parts = parts.select("k", F.transform("parts", lambda p: F.struct(p["ids"].alias("ids"), F.when(p["ids"].isNull(), p["w"]).alias("w"))).alias("parts"))
-    rare = parts.select("k", F.explode(F.array_distinct(F.filter(F.transform("parts", lambda p: p["w"]), lambda w: w.isNotNull()))).alias("word"))
+    # Buckets of common words go by Spark's own hash of the word, which needs no copy of its bytes.
+    slot = lambda w: F.pmod(F.hash(w), F.lit(COMMON_BUCKETS))
+    top = bounded_rows(vocab.where(F.length("word") <= COMMON_LENGTH).orderBy(F.desc("n"), "word").limit(COMMON_WORDS).select("word", "ids", slot(F.col("word")).alias("slot")), COMMON_WORDS, "common words")
+    maps: list[dict[str, list[int]]] = [{} for _ in range(COMMON_BUCKETS)]
+    for r in top:
+        maps[r.slot][r.word] = list(r.ids)
+    common = F.from_json(F.lit(json.dumps(maps)), "array<map<string,array<int>>>")
+    known = lambda w: F.try_element_at(F.element_at(common, slot(w) + 1), w)
+    rare = docs.where(F.length("t") > 0).select("k", F.explode(F.array_distinct(F.filter(words_of(F.col("t")), lambda w: known(w).isNull()))).alias("word"))
     joined = rare.join(vocab.select("word", "ids"), "word").groupBy("k").agg(F.map_from_entries(F.collect_list(F.struct("word", "ids"))).alias("m"))
-    done = parts.join(joined, "k", "left")
-    ids = F.flatten(F.transform("parts", lambda p: F.coalesce(p["ids"], F.try_element_at(F.col("m"), p["w"]))))
+    # The text is what the join moves, not its ids, which take several times its bytes.
+    done = docs.join(joined, "k", "left")
+    ids = F.flatten(F.transform(words_of(F.coalesce("t", F.lit(""))), lambda w: F.coalesce(known(w), F.try_element_at(F.col("m"), w))))
     return done.select(F.col("k").alias(key), F.coalesce(ids, F.array().cast("array<int>")).alias(out))
 
 
