@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslake.llm import canonical, encoding, lines, tokenizer
+from presslake.llm import canonical, encoding, lines, tokenizer, truncation
 from presslake.session import bounded_rows, table
 
 
@@ -90,5 +90,19 @@ def p8_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.join(documents, "doc_id").groupBy(same.alias("same")).agg(F.count(F.lit(1)).alias("n_docs"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p6_found, p6_unmatched, p7_found, p7_clean, p8_ids, p8_round_trip)}
+def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return truncation.score_texts(table(spark, sf_dir, "documents"), "doc_id", "source", "text", "title")
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose text was cut off."""
+    return truncation.cut_off(_scored(spark, sf_dir)).select("doc_id")
+
+
+def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each source has cut texts."""
+    return truncation.truncation_rates(_scored(spark, sf_dir), "source")
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p6_found, p6_unmatched, p7_found, p7_clean, p8_ids, p8_round_trip, p10_found, p10_rates)}
 SQL: dict[str, str] = {}
