@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslake.llm import canonical, encoding, lines, tokenizer, truncation
+from presslake.llm import canonical, encoding, lines, neardup, tokenizer, truncation
 from presslake.session import bounded_rows, table
 
 
@@ -23,6 +23,25 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.where("affected").select("id", "field_name", F.when(F.col("value").contains("�"), F.lit("")).otherwise(F.md5(F.col("restored").cast("binary"))).alias("restored_md5"))
 
 
+def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(key, text) of articles and of news messages."""
+    articles = table(spark, sf_dir, "articles").select(
+        F.concat(F.lit("a"), F.col("id")).alias("key"), F.concat(F.coalesce("title", F.lit("")), F.lit("\n"), F.coalesce("content_text", F.lit(""))).alias("text")
+    )
+    news = table(spark, sf_dir, "news").where("record_kind = 'news'").select(F.concat(F.lit("n"), F.col("id")).alias("key"), F.col("body_text").alias("text"))
+    return articles.unionByName(news)
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of records that share at least 0.8 of the longer text's words."""
+    return neardup.similar_pairs(_records(spark, sf_dir))
+
+
+def p2_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each record with the class of its text, and the number of other texts it is similar to."""
+    return neardup.classes_with_links(_records(spark, sf_dir))
+
+
 def _portal_entries(spark: SparkSession, sf_dir: str) -> list:
     rows = bounded_rows(table(spark, sf_dir, "portals").select("portal_id", "source_name", "display_name"), canonical.MAX_ENTRIES, "portals")
     return [(r[0], (r[1], r[2])) for r in rows]
@@ -104,5 +123,5 @@ def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return truncation.truncation_rates(_scored(spark, sf_dir), "source")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p6_found, p6_unmatched, p7_found, p7_clean, p8_ids, p8_round_trip, p10_found, p10_rates)}
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_classes, p6_found, p6_unmatched, p7_found, p7_clean, p8_ids, p8_round_trip, p10_found, p10_rates)}
 SQL: dict[str, str] = {}
