@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslake.llm import canonical, encoding, lines, neardup, tokenizer, truncation
+from presslake.llm import canonical, encoding, language, lines, neardup, tokenizer, truncation
 from presslake.session import bounded_rows, table
 
 
@@ -123,5 +123,38 @@ def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return truncation.truncation_rates(_scored(spark, sf_dir), "source")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_classes, p6_found, p6_unmatched, p7_found, p7_clean, p8_ids, p8_round_trip, p10_found, p10_rates)}
+def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(rec_kind, rec_id, n_words, stretches, label) of articles and news messages."""
+    articles, news = table(spark, sf_dir, "articles"), table(spark, sf_dir, "news").where("record_kind = 'news'")
+    a_langs = table(spark, sf_dir, "article_langs").select(F.col("id").cast("string").alias("rec_id"), language.language_of_label(F.col("declared_lang")).alias("label"), F.lit("articles").alias("rec_kind"))
+    n_langs = table(spark, sf_dir, "news_langs").select(F.col("id").alias("rec_id"), language.language_of_label(F.col("declared_lang")).alias("label"), F.lit("news").alias("rec_kind"))
+    labels = a_langs.unionByName(n_langs).groupBy("rec_kind", "rec_id").agg(F.max("label").alias("label"))
+    # Taught by articles whose declared language is also that of their portal.
+    portals = table(spark, sf_dir, "portals").select("source_name", "main_lang")
+    agreed = articles.select("id", "source_name", "content_text").join(F.broadcast(portals), "source_name")
+    agreed = agreed.join(a_langs.select(F.col("rec_id").cast("bigint").alias("id"), "label"), "id").where(F.col("label") == F.col("main_lang"))
+    models = language.train_models(agreed, "id", "label", "content_text")
+    texts = articles.select(F.lit("articles").alias("rec_kind"), F.col("id").cast("string").alias("rec_id"), F.col("content_text").alias("text")).unionByName(
+        news.select(F.lit("news").alias("rec_kind"), F.col("id").alias("rec_id"), F.col("body_text").alias("text"))
+    )
+    # Texts are judged where they are; only their stretches meet the labels.
+    return language.label_stretches(texts, "text", models, ["rec_kind", "rec_id"]).join(labels, ["rec_kind", "rec_id"], "left")
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stretches of records whose label is missing or wrong, or which mix languages."""
+    first = F.try_element_at("stretches", F.lit(1))["lang"]
+    wrong = F.col("label").isNull() | (F.col("label") != first) | (F.size("stretches") > 1)
+    cases = _judged(spark, sf_dir).where((F.col("n_words") >= language.MIN_WORDS) & (F.size("stretches") > 0) & wrong)
+    return cases.select("rec_kind", "rec_id", F.posexplode("stretches").alias("pos", "s")).select("rec_kind", "rec_id", (F.col("pos") + 1).alias("seg_no"), F.col("s.lang").alias("lang"))
+
+
+def p5_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every stretch of every record, with its confidence."""
+    return _judged(spark, sf_dir).select("rec_kind", "rec_id", F.posexplode("stretches").alias("pos", "s")).select(
+        "rec_kind", "rec_id", (F.col("pos") + 1).alias("seg_no"), F.col("s.lang").alias("lang"), F.col("s.confidence").alias("confidence")
+    )
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_classes, p5_found, p5_languages, p6_found, p6_unmatched, p7_found, p7_clean, p8_ids, p8_round_trip, p10_found, p10_rates)}
 SQL: dict[str, str] = {}
