@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslake.llm import canonical, encoding, language, lines, neardup, tokenizer, truncation
+from presslake.llm import canonical, encoding, language, lines, mixing, neardup, tokenizer, truncation
 from presslake.session import bounded_rows, table
 
 
@@ -156,5 +156,23 @@ def p5_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_classes, p5_found, p5_languages, p6_found, p6_unmatched, p7_found, p7_clean, p8_ids, p8_round_trip, p10_found, p10_rates)}
+def _mixed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    targets = table(spark, sf_dir, "mix_targets")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text").join(F.broadcast(targets.select("source")), "source", "left_semi")
+    sizes = tokenizer.encode_texts(documents, "doc_id", "text").select("doc_id", F.size("ids").alias("n_tokens"))
+    sized = documents.select("doc_id", "source").join(sizes, "doc_id")
+    return mixing.mix_sources(sized, targets, "doc_id", "source", "n_tokens")
+
+
+def p9_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Uses of documents in the order of the mix."""
+    return _mixed(spark, sf_dir)[0]
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target and actual share of all tokens, by source."""
+    return _mixed(spark, sf_dir)[1]
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_classes, p5_found, p5_languages, p6_found, p6_unmatched, p7_found, p7_clean, p8_ids, p8_round_trip, p9_selection, p9_shares, p10_found, p10_rates)}
 SQL: dict[str, str] = {}
