@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslake.llm import canonical, encoding, language, lines, mixing, neardup, tokenizer, truncation
-from presslake.session import bounded_rows, table
+from presslake.llm import boilerplate, canonical, encoding, language, lines, mixing, neardup, tokenizer, truncation
+from presslake.session import MAX_BROADCAST_ROWS, bounded_rows, checkpointed, table
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,14 +76,14 @@ def p6_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return missed.groupBy("field_name", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _articles_with_portal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(id, portal_id, content_text) of articles; the portal is that of p6, null if there is none."""
+def _articles_with_portal(spark: SparkSession, sf_dir: str, more: list[str] = []) -> DataFrame:  # noqa: B006
+    """(id, portal_id, content_text, more...) of articles; the portal is that of p6, null if there is none."""
     entries = _portal_entries(spark, sf_dir)
     exact = F.create_map(*[F.lit(x) for i, names in entries for x in (names[0], i)]) if entries else F.lit(None)
-    rows = table(spark, sf_dir, "articles").select("id", "content_text", "source_name")
+    rows = table(spark, sf_dir, "articles").select("id", "content_text", "source_name", *more)
     rows = rows.withColumn("exact_id", exact[F.col("source_name")] if entries else F.lit(None).cast("int"))
     rows = canonical.with_matches(rows.withColumn("typed", F.when(F.col("exact_id").isNull(), F.col("source_name"))), "typed", entries)
-    return rows.select("id", F.coalesce("exact_id", F.try_element_at("matches", F.lit(1))["ref_id"]).alias("portal_id"), "content_text")
+    return rows.select("id", F.coalesce("exact_id", F.try_element_at("matches", F.lit(1))["ref_id"]).alias("portal_id"), "content_text", *more)
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,5 +174,39 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mixed(spark, sf_dir)[1]
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_classes, p5_found, p5_languages, p6_found, p6_unmatched, p7_found, p7_clean, p8_ids, p8_round_trip, p9_selection, p9_shares, p10_found, p10_rates)}
+def _stories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(rec_kind, rec_id, portal_id, line) of the story paragraphs of pages and of articles that carry boilerplate."""
+    pages = table(spark, sf_dir, "raw_ingest").where("raw_html is not null and raw_html <> ''").select("raw_id", "source_name", "raw_html")
+    read = checkpointed(boilerplate.read_pages(pages, "raw_html", ["raw_id", "source_name"]))  # read by the vote, the dictionary and the extraction
+    stories = boilerplate.with_story(read, boilerplate.winning_paths(read, "source_name"), "source_name")
+    known = bounded_rows(boilerplate.boilerplate_texts(stories).select("kind", "text"), MAX_BROADCAST_ROWS, "boilerplate texts")
+    entries = _portal_entries(spark, sf_dir)
+    from_pages = canonical.with_matches(stories.select(F.lit("raw_ingest").alias("rec_kind"), F.col("raw_id").alias("rec_id"), "source_name", "story"), "source_name", entries)
+    from_pages = from_pages.select("rec_kind", "rec_id", F.try_element_at("matches", F.lit(1))["ref_id"].alias("portal_id"), F.explode("story").alias("line"))
+    texts = _articles_with_portal(spark, sf_dir, ["title"])
+    from_texts = boilerplate.story_of_texts(texts, "content_text", "title", [(r.kind, r.text) for r in known], ["id", "portal_id"])
+    from_texts = from_texts.select(F.lit("articles").alias("rec_kind"), F.col("id").alias("rec_id"), "portal_id", F.explode("story").alias("line"))
+    return from_pages.unionByName(from_texts)
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """md5 of each story paragraph of pages, and of articles that also carry what surrounds stories."""
+    found = _stories(spark, sf_dir).withColumn("h", F.xxhash64(lines.normal_line(F.col("line"))))
+    # Lines of problem 7 are no story paragraphs.
+    repeated = lines.frequent_lines(_articles_with_portal(spark, sf_dir), "portal_id", "content_text").select(F.col("source").alias("portal_id"), "h")
+    some = repeated.limit(MAX_BROADCAST_ROWS + 1).collect()
+    if len(some) <= MAX_BROADCAST_ROWS:
+        repeated = F.broadcast(spark.createDataFrame(some, repeated.schema))
+    kept = found.join(repeated, ["portal_id", "h"], "left_anti")
+    return kept.select("rec_kind", "rec_id", F.md5(F.col("line").cast("binary")).alias("line_md5")).distinct()
+
+
+def p4_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The container paths that won each host's vote."""
+    pages = table(spark, sf_dir, "raw_ingest").where("raw_html is not null and raw_html <> ''").select("raw_id", "source_name", "raw_html")
+    won = boilerplate.winning_paths(boilerplate.read_pages(pages, "raw_html", ["raw_id", "source_name"]), "source_name")
+    return won.select(F.col("w_host").alias("source_name"), F.array_join("paths", " | ").alias("paths"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_classes, p4_found, p4_paths, p5_found, p5_languages, p6_found, p6_unmatched, p7_found, p7_clean, p8_ids, p8_round_trip, p9_selection, p9_shares, p10_found, p10_rates)}
 SQL: dict[str, str] = {}
