@@ -167,16 +167,35 @@ def normal(text: Column) -> Column:
 
 
 def boilerplate_texts(stories: DataFrame) -> DataFrame:
-    """(kind, text, n): what pages carry outside their story, by number of pages.
+    """(kind, text, n): what pages carry around their story, by number of pages.
 
-    kind ``block``: whole blocks; ``head``: headings; ``opening``: what stands before a colon, in addresses and pointers.
+    kind ``block``: whole blocks outside the story's container; ``head``: headings there; ``opening``: what stands before a
+    colon there, as in addresses; ``pointer``: the same within the container, beside the paragraphs. Texts that pages also
+    have among the paragraphs of their story are lines of the site, not of the page's frame, and are left out.
     """
-    outside = stories.where("path is not null").select(F.explode(F.filter("blocks", lambda b: (b["path"] != F.col("path")) | (b["linked"] >= 0.5))).alias("b"), F.col("path").alias("story_path"))
-    text = normal(F.col("b.text"))
-    kind = F.when(F.col("b.path").rlike("(^|>)h[2-6][^>]*$"), "head").otherwise("block")
-    whole = outside.where(~F.col("b.path").rlike("(^|>)h1[^>]*$|^head")).select(kind.alias("kind"), text.alias("text"))
-    opening = outside.where(text.rlike("^[^:]{3,40}: ") & ~F.col("b.path").rlike("h1|item|^head")).select(F.lit("opening").alias("kind"), F.regexp_extract(text, "^([^:]{3,40}):", 1).alias("text"))
-    return whole.unionByName(opening).groupBy("kind", "text").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= MIN_PAGES)
+    blocks = stories.where("path is not null").select("path", F.explode("blocks").alias("b"))
+    container = F.regexp_replace("path", ">p[^>]*$", "")
+    x = blocks.select(
+        normal(F.col("b.text")).alias("text"),
+        (F.col("b.path") == F.col("path")).alias("in_story"),
+        F.col("b.path").startswith(container).alias("within"),
+        F.col("b.path").rlike("(^|>)h[2-6][^>]*$").alias("head"),
+        F.col("b.path").rlike("(^|>)h1[^>]*$|^head|^title").alias("title"),
+        F.col("b.path").rlike("item").alias("item"),
+    ).where("not title")
+    opening = F.when(F.col("text").rlike("^[^:]{3,40}: ") & ~F.col("item"), F.regexp_extract("text", "^([^:]{3,40}):", 1))
+    x = x.select(
+        "in_story",
+        F.explode(F.array(
+            F.struct(F.when(F.col("head"), "head").otherwise("block").alias("kind"), F.when(~F.col("within") | F.col("in_story"), F.col("text")).alias("text")),
+            F.struct(F.when(F.col("within"), "pointer").otherwise("opening").alias("kind"), opening.alias("text")),
+        )).alias("e"),
+    )
+    counted = x.where("e.text is not null").groupBy("e.kind", "e.text").agg(F.count_if(~F.col("in_story")).alias("n"), F.count_if("in_story").alias("n_in"))
+    # A pointer among the paragraphs is still a pointer; a line of the story's paragraphs is no frame, under any kind.
+    lines = counted.groupBy("text").agg(F.max("n_in").alias("n_story"), F.sum("n").alias("n_frame"))
+    kept = counted.where(F.col("n") >= MIN_PAGES).join(lines, "text").where(F.col("n_story") <= 0.1 * F.col("n_frame"))
+    return kept.select("kind", "text", "n")
 
 
 class TextJudge:
@@ -186,6 +205,7 @@ class TextJudge:
         self.blocks = {t for k, t in known if k == "block"}
         self.heads = {t for k, t in known if k == "head"}
         self.openings = {t for k, t in known if k == "opening"}
+        self.pointers = {t for k, t in known if k == "pointer"}
         self._mark = re.compile(r"©|^(copyright|копирайт)\b", re.I)
         self._end = re.compile(r"[.!?…][”\"»’')\]]*$")
         self._items = re.compile(r"\s*[|/·•»›–—]\s+|\s{2,}| | [|/·•] ")
@@ -204,8 +224,10 @@ class TextJudge:
                 kinds.append("head")
             elif plain in self.blocks or self._mark.search(line) or (len(parts) > 1 and known >= 0.5 * len(parts)):
                 kinds.append("around")
+            elif opening and opening in self.pointers:
+                kinds.append("pointer")
             elif opening and opening in self.openings:
-                kinds.append("pointer" if not re.search(r"\d", line.rsplit(" ", 1)[-1]) and not self._end.search(line) and len(line.split()) > len(opening.split()) + 2 else "around")
+                kinds.append("around")
             elif self._end.search(line) and len(line.split()) >= RUNNING_WORDS:
                 kinds.append("text")
             else:
