@@ -32,7 +32,7 @@ from presslake.session import bounded_rows, checkpointed, free_name
 TOKENIZER_DIR = "/opt/tokenizers"
 RANK_BUCKETS = 65_536
 #: Size of the literal of frequent words, and the longest word in it, which bound it together.
-COMMON_WORDS, COMMON_BUCKETS, COMMON_LENGTH = 32_768, 32_768, 64
+COMMON_WORDS, COMMON_BUCKETS, COMMON_LENGTH = 16_384, 16_384, 64
 
 # Fixed value: the pattern of the vocabulary, white space written out because Java's \s knows only ASCII.
 _SPACE = "\\t-\\r \\u0085\\u00a0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -81,8 +81,7 @@ def encode_word(word: Column, ranks: dict[bytes, int]) -> Column:
 
     start = F.split(raw, "")
     folded = F.aggregate(F.sequence(F.lit(1), F.greatest(F.length(raw) - 1, F.lit(1))), start, merge, lambda p: F.transform(F.filter(p, lambda x: x != ""), rank))
-    whole = rank(raw)
-    return F.when(whole.isNotNull(), F.array(whole)).otherwise(folded)
+    return folded
 
 
 def vocabulary(texts: DataFrame, text: str, ranks: dict[bytes, int]) -> DataFrame:
@@ -99,11 +98,13 @@ def encode_texts(df: DataFrame, key: str, text: str, out: str = "ids", tokenizer
     vocab = vocabulary(docs, "t", ranks)
     # Buckets of common words go by Spark's own hash of the word, which needs no copy of its bytes.
     slot = lambda w: F.pmod(F.hash(w), F.lit(COMMON_BUCKETS))
-    top = bounded_rows(vocab.where(F.length("word") <= COMMON_LENGTH).orderBy(F.desc("n"), "word").limit(COMMON_WORDS).select("word", "ids", slot(F.col("word")).alias("slot")), COMMON_WORDS, "common words")
-    maps: list[dict[str, list[int]]] = [{} for _ in range(COMMON_BUCKETS)]
-    for r in top:
-        maps[r.slot][r.word] = list(r.ids)
-    common = F.from_json(F.lit(json.dumps(maps)), "array<map<string,array<int>>>")
+    top = vocab.where(F.length("word") <= COMMON_LENGTH).orderBy(F.desc("n"), "word").limit(COMMON_WORDS)
+    # The buckets are written as JSON by Spark: the driver holds one string for each, not the words and their ids.
+    texts = top.groupBy(slot(F.col("word")).alias("slot")).agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("word", "ids")))).alias("j"))
+    maps = ["{}"] * COMMON_BUCKETS
+    for r in bounded_rows(texts, COMMON_WORDS, "common words"):
+        maps[r.slot] = r.j
+    common = F.from_json(F.lit("[" + ",".join(maps) + "]"), "array<map<string,array<int>>>")
     known = lambda w: F.try_element_at(F.element_at(common, slot(w) + 1), w)
     rare = docs.where(F.length("t") > 0).select("k", F.explode(F.array_distinct(F.filter(words_of(F.col("t")), lambda w: known(w).isNull()))).alias("word"))
     joined = rare.join(vocab.select("word", "ids"), "word").groupBy("k").agg(F.map_from_entries(F.collect_list(F.struct("word", "ids"))).alias("m"))
