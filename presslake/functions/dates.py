@@ -102,3 +102,46 @@ def iso_with_offset(x: Column) -> Column:
     z = _part(t, p, 7)
     off = F.when(z == "", OFFSET).when(z == "Z", "+00:00").otherwise(F.concat(F.left(z, F.lit(3)), F.lit(":"), F.right(z, F.lit(2))))
     return F.coalesce(F.concat(_date(_part(t, p, 1), _part(t, p, 2), _part(t, p, 3)), F.lit("T"), _clock(_part(t, p, 4), _part(t, p, 5), _part(t, p, 6)), off), F.lit(""))
+
+
+def apa_datetime(x: Column, year: Column) -> Column:
+    """``08 aprel 2026 12:04 (UTC +04:00)``."""
+    t = F.trim(F.regexp_replace(normalize_whitespace(x), r"\s*\(UTC \+04:00\)", ""))
+    return azerbaijani_datetime(t, F.regexp_extract(t, r"(\d{1,2}:\d{2}(?::\d{2})?)$", 1), year)
+
+
+def js_datetime(x: Column) -> Column:
+    """``Wed Apr 22 2026 15:01:00 GMT+0400 (...)`` with its own offset."""
+    p = r"^[A-Za-z]{3} ([A-Za-z]{3}) (\d{2}) (\d{4}) (\d{2}):(\d{2}):(\d{2}) GMT([+-]\d{2})(\d{2})"
+    t = normalize_whitespace(x)
+    d = _date(_part(t, p, 3), _month(_part(t, p, 1), EN_MONTHS), _part(t, p, 2))
+    return F.coalesce(F.concat(d, F.lit("T"), _clock(_part(t, p, 4), _part(t, p, 5), _part(t, p, 6)), _part(t, p, 7), F.lit(":"), _part(t, p, 8)), F.lit(""))
+
+
+def iqtisadiyyat_datetime(x: Column) -> Column:
+    """ISO, else the form of scripts, else that of mail headers."""
+    return F.coalesce(F.nullif(iso_with_offset(x), F.lit("")), F.nullif(js_datetime(x), F.lit("")), rfc2822(x))
+
+
+def yeniazerbaycan_datetime(x: Column) -> Column:
+    """Brackets as spaces; ISO first (a bare date is its midnight), then ``dd.MM.yyyy HH:mm``, then ``dd.MM.yyyy``."""
+    t = normalize_whitespace(F.translate(x, "[]", "  "))
+    midnight = F.concat(F.nullif(iso_or_dotted_date(F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}$"), t)), F.lit("")), F.lit("T00:00:00"), F.lit(OFFSET))
+    return F.coalesce(F.nullif(iso_with_offset(t), F.lit("")), midnight, _numeric(t, r"^(\d{2})\.(\d{2})\.(\d{4}) (\d{2}):(\d{2})()$", 3, 2, 1, 4), iso_or_dotted_date(t))
+
+
+def visible_datetime(x: Column, year: Column) -> Column:
+    """The last word as time, the rest as date; else the date; else the text."""
+    t = normalize_whitespace(x)
+    whole = azerbaijani_datetime(F.regexp_replace(t, r"\s+\S+$", ""), F.regexp_extract(t, r"(\S+)$", 1), year)
+    return F.coalesce(F.nullif(whole, F.lit("")), F.nullif(azerbaijani_date(t, year), F.lit("")), t)
+
+
+def at_fixed_offset(x: Column) -> Column:
+    """An ISO time converted to +04:00; '' if it names no offset or can't be read. Independent of the session's zone."""
+    t = normalize_whitespace(x)
+    ok = t.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})$")
+    s = F.unix_seconds(F.try_to_timestamp(F.when(ok, F.regexp_replace(t, r"([+-]\d{2})(\d{2})$", "$1:$2")))) + 4 * 3600
+    day, rest = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(s / 86_400).cast("int")).cast("string"), F.pmod(s, F.lit(86_400))
+    two = lambda v: F.lpad(v.cast("int").cast("string"), 2, "0")
+    return F.coalesce(F.concat(day, F.lit("T"), two(F.floor(rest / 3600)), F.lit(":"), two(F.floor(rest % 3600 / 60)), F.lit(":"), two(rest % 60), F.lit(OFFSET)), F.lit(""))

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 # Fixed value: the white space of Unicode, written out because Java's \s knows only ASCII.
 WS = "[\\t-\\r \\u001c-\\u001f\\u0085\\u00a0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+"
-EMPTY = F.lit("")
 
 
 def normalize_space(x: Column) -> Column:

@@ -105,7 +105,7 @@ def channel_identifier(x: Column) -> Column:
     """A channel's name or ``peer:N``, however it was written."""
     t = F.trim(x)
     bare = F.btrim(F.regexp_replace(t, r"^(https?://)?(t\.me/)?@?", ""), F.lit("/"))
-    return F.when(t.startswith("peer:"), t).when(bare.rlike(r"^-?\d+$"), F.concat(F.lit("peer:"), bare)).otherwise(bare)
+    return F.when(t.startswith("peer:"), F.concat(F.lit("peer:"), F.trim(F.substr(t, F.lit(6))))).when(bare.rlike(r"^-?\d+$"), F.concat(F.lit("peer:"), bare)).otherwise(bare)
 
 
 def source_key(identifier: Column) -> Column:
