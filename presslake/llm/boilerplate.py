@@ -35,6 +35,8 @@ from presslake.session import ship
 MIN_SHARE = 0.15
 #: Words that make a block running text, and pages that make a block outside the story boilerplate.
 RUNNING_WORDS, MIN_PAGES = 6, 3
+#: Blocks of more words are stories or teasers that several pages carry, not their frame.
+MAX_FRAME_WORDS = 25
 
 _TOKEN = re.compile(r"<!--.*?-->|<(script|style|noscript|template)\b[^>]*>.*?</\1\s*>|<[!?][^>]*>|<(/?)([a-zA-Z][\w:-]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>", re.S | re.I)
 _ATTR = re.compile(r"\b(class|id)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -202,10 +204,11 @@ class TextJudge:
     """Tells the story's lines of a text without markup from what pages carry around stories."""
 
     def __init__(self, known: list[tuple[str, str]]):
-        self.blocks = {t for k, t in known if k == "block"}
+        self.blocks = {t for k, t in known if k == "block" and len(t.split()) < MAX_FRAME_WORDS}
         self.heads = {t for k, t in known if k == "head"}
         self.openings = {t for k, t in known if k == "opening"}
         self.pointers = {t for k, t in known if k == "pointer"}
+        self.longest = max(map(len, self.blocks | self.heads), default=0)
         self._mark = re.compile(r"©|^(copyright|копирайт)\b", re.I)
         self._end = re.compile(r"[.!?…][”\"»’')\]]*$")
         self._items = re.compile(r"\s*[|/·•»›–—]\s+|\s{2,}| | [|/·•] ")
@@ -216,6 +219,9 @@ class TextJudge:
         lines = [_SPACE.sub(" ", x).strip() for x in raw]
         kinds = []
         for line, as_is in zip(lines, raw):
+            if len(line) > self.longest + 100:  # longer than any block that pages carry around stories: a paragraph
+                kinds.append("text" if self._end.search(line) else "short")
+                continue
             plain = re.sub(r"\d+", "0", line)
             parts = [re.sub(r"\d+", "0", _SPACE.sub(" ", p).strip()) for p in self._items.split(as_is.strip()) if p.strip()]
             known = sum(p in self.blocks for p in parts)
