@@ -159,8 +159,7 @@ def p5_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _mixed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     targets = table(spark, sf_dir, "mix_targets")
     documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text").join(F.broadcast(targets.select("source")), "source", "left_semi")
-    sizes = tokenizer.encode_texts(documents, "doc_id", "text").select("doc_id", F.size("ids").alias("n_tokens"))
-    sized = documents.select("doc_id", "source").join(sizes, "doc_id")
+    sized = tokenizer.encode_texts(documents, "doc_id", "text", keep=("source",)).select("doc_id", "source", F.size("ids").alias("n_tokens"))
     return mixing.mix_sources(sized, targets, "doc_id", "source", "n_tokens")
 
 

@@ -1,11 +1,11 @@
 """Byte-level BPE of a public vocabulary, run inside the JVM on distinct words.
 
 A text is split into words by the vocabulary's pattern. Words are counted, and each distinct word is encoded once by a fold
-of ranked merges (higher-order functions over its bytes, written as one-byte characters). The ranks are a literal: an array
+of ranked merges (higher-order functions over its bytes, written as one-byte characters). The ranks are one constant: an array
 of hash buckets of small maps, so that a lookup does not depend on the size of the vocabulary.
 
 Texts are then put together again on two ways that give the same ids. The ``COMMON_WORDS`` most frequent words, a fixed
-number whatever the corpus, are a literal of the same form and need no shuffle. All other words are joined to the table of
+number whatever the corpus, are a constant of the same form and need no shuffle. All other words are joined to the table of
 encoded words by shuffle; none of them is hot, since each is rarer than every common word, and a document sends each only
 once.
 
@@ -22,6 +22,7 @@ import base64
 import json
 import os
 import zlib
+from collections.abc import Callable
 from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
@@ -30,9 +31,9 @@ from pyspark.sql import functions as F
 from presslake.session import bounded_rows, checkpointed, free_name
 
 TOKENIZER_DIR = "/opt/tokenizers"
-RANK_BUCKETS = 65_536
+RANK_BUCKETS = 16_384
 #: Size of the literal of frequent words, and the longest word in it, which bound it together.
-COMMON_WORDS, COMMON_BUCKETS, COMMON_LENGTH = 16_384, 16_384, 64
+COMMON_WORDS, COMMON_BUCKETS, COMMON_LENGTH = 16_384, 8_192, 64
 
 # Fixed value: the pattern of the vocabulary, white space written out because Java's \s knows only ASCII.
 _SPACE = "\\t-\\r \\u0085\\u00a0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -45,16 +46,25 @@ def load_ranks(name: str = "byte_bpe_50k", folder: str = TOKENIZER_DIR) -> dict[
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
-def _buckets(pairs: list[tuple[str, object]], n: int, value_type: str) -> Column:
-    """A literal array of ``n`` maps; a key is in the map that its CRC names. The optimizer folds it once."""
-    maps: list[dict[str, object]] = [{} for _ in range(n)]
-    for k, v in pairs:
-        maps[zlib.crc32(k.encode()) % n][k] = v
-    return F.from_json(F.lit(json.dumps(maps)), f"array<map<string,{value_type}>>")
+def _table(text: str, kind: str) -> Column:
+    """A constant of JSON text; the optimizer reads it once."""
+    return F.from_json(F.lit(text), kind)
 
 
-def _find(buckets: Column, n: int, key: Column) -> Column:
-    return F.try_element_at(F.element_at(buckets, (F.crc32(F.encode(key, "UTF-8")) % n + 1).cast("int")), key)
+def _with(constant: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a constant, which stands in the plan once however often the body uses it."""
+    return F.element_at(F.transform(F.array(constant), body), 1)
+
+
+def _rank_table(ranks: dict[bytes, int]) -> Column:
+    """Array of ``RANK_BUCKETS`` maps from pieces to ranks; a piece is in the map that its CRC names."""
+    maps: list[str] = ["{}"] * RANK_BUCKETS
+    for piece, rank in ranks.items():
+        key = piece.decode("latin-1")
+        slot = zlib.crc32(key.encode()) % RANK_BUCKETS
+        entry = f"{json.dumps(key)}:{rank}"
+        maps[slot] = "{" + entry + "}" if maps[slot] == "{}" else maps[slot][:-1] + "," + entry + "}"
+    return _table("[" + ",".join(maps) + "]", "array<map<string,int>>")
 
 
 def words_of(text: Column) -> Column:
@@ -62,10 +72,13 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
 
 
-def encode_word(word: Column, ranks: dict[bytes, int]) -> Column:
+def encode_word(word: Column, ranks: Column) -> Column:
     """Token ids of one word: a fold that merges the neighbours of least rank, leftmost first, until none has a rank."""
-    table = _buckets([(k.decode("latin-1"), v) for k, v in ranks.items()], RANK_BUCKETS, "int")
-    rank = lambda piece: _find(table, RANK_BUCKETS, piece)
+    return _with(ranks, lambda table: _fold(word, table))
+
+
+def _fold(word: Column, table: Column) -> Column:
+    rank = lambda piece: F.try_element_at(F.element_at(table, (F.crc32(F.encode(piece, "UTF-8")) % RANK_BUCKETS + 1).cast("int")), piece)
     raw = F.decode(F.encode(word, "UTF-8"), "ISO-8859-1")
 
     def merge(pieces: Column, _: Column) -> Column:
@@ -80,21 +93,20 @@ def encode_word(word: Column, ranks: dict[bytes, int]) -> Column:
         return F.when(done | (F.size(pieces) < 2), pieces).otherwise(F.coalesce(step, F.concat(pieces, F.array(F.lit("")))))
 
     start = F.split(raw, "")
-    folded = F.aggregate(F.sequence(F.lit(1), F.greatest(F.length(raw) - 1, F.lit(1))), start, merge, lambda p: F.transform(F.filter(p, lambda x: x != ""), rank))
-    return folded
+    return F.aggregate(F.sequence(F.lit(1), F.greatest(F.length(raw) - 1, F.lit(1))), start, merge, lambda p: F.transform(F.filter(p, lambda x: x != ""), rank))
 
 
 def vocabulary(texts: DataFrame, text: str, ranks: dict[bytes, int]) -> DataFrame:
     """(word, n, ids) of every distinct word of the corpus, written to the checkpoint folder because it is used twice."""
     words = texts.where(F.length(text) > 0).select(F.explode(words_of(F.col(text))).alias("word"))
     counted = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    return checkpointed(counted.select("word", "n", encode_word(F.col("word"), ranks).alias("ids")))
+    return checkpointed(counted.select("word", "n", encode_word(F.col("word"), _rank_table(ranks)).alias("ids")))
 
 
-def encode_texts(df: DataFrame, key: str, text: str, out: str = "ids", tokenizer: str = "byte_bpe_50k", folder: str = TOKENIZER_DIR) -> DataFrame:
-    """(key, out) with the token ids of ``text``; ``key`` must be unique."""
+def encode_texts(df: DataFrame, key: str, text: str, out: str = "ids", tokenizer: str = "byte_bpe_50k", folder: str = TOKENIZER_DIR, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(key, keep..., out) with the token ids of ``text``; ``key`` must be unique, ``keep`` must not be named k, t or m."""
     ranks = load_ranks(tokenizer, folder)
-    docs = df.select(F.col(key).alias("k"), F.col(text).alias("t"))
+    docs = df.select(F.col(key).alias("k"), F.col(text).alias("t"), *keep)
     vocab = vocabulary(docs, "t", ranks)
     # Buckets of common words go by Spark's own hash of the word, which needs no copy of its bytes.
     slot = lambda w: F.pmod(F.hash(w), F.lit(COMMON_BUCKETS))
@@ -104,14 +116,15 @@ def encode_texts(df: DataFrame, key: str, text: str, out: str = "ids", tokenizer
     maps = ["{}"] * COMMON_BUCKETS
     for r in bounded_rows(texts, COMMON_WORDS, "common words"):
         maps[r.slot] = r.j
-    common = F.from_json(F.lit("[" + ",".join(maps) + "]"), "array<map<string,array<int>>>")
-    known = lambda w: F.try_element_at(F.element_at(common, slot(w) + 1), w)
-    rare = docs.where(F.length("t") > 0).select("k", F.explode(F.array_distinct(F.filter(words_of(F.col("t")), lambda w: known(w).isNull()))).alias("word"))
+    common = _table("[" + ",".join(maps) + "]", "array<map<string,array<int>>>")
+    known = lambda t, w: F.try_element_at(F.element_at(t, slot(w) + 1), w)
+    unknown = _with(common, lambda t: F.filter(words_of(F.col("t")), lambda w: known(t, w).isNull()))
+    rare = docs.where(F.length("t") > 0).select("k", F.explode(F.array_distinct(unknown)).alias("word"))
     joined = rare.join(vocab.select("word", "ids"), "word").groupBy("k").agg(F.map_from_entries(F.collect_list(F.struct("word", "ids"))).alias("m"))
     # The text is what the join moves, not its ids, which take several times its bytes.
     done = docs.join(joined, "k", "left")
-    ids = F.flatten(F.transform(words_of(F.coalesce("t", F.lit(""))), lambda w: F.coalesce(known(w), F.try_element_at(F.col("m"), w))))
-    return done.select(F.col("k").alias(key), F.coalesce(ids, F.array().cast("array<int>")).alias(out))
+    ids = _with(common, lambda t: F.flatten(F.transform(words_of(F.coalesce("t", F.lit(""))), lambda w: F.coalesce(known(t, w), F.try_element_at(F.col("m"), w)))))
+    return done.select(F.col("k").alias(key), *keep, F.coalesce(ids, F.array().cast("array<int>")).alias(out))
 
 
 def decode_ids(df: DataFrame, ids: str, out: str = "decoded", tokenizer: str = "byte_bpe_50k", folder: str = TOKENIZER_DIR) -> DataFrame:
@@ -120,7 +133,7 @@ def decode_ids(df: DataFrame, ids: str, out: str = "decoded", tokenizer: str = "
     pieces = [""] * (max(ranks.values()) + 1)
     for piece, i in ranks.items():
         pieces[i] = piece.hex()
-    table = F.from_json(F.lit(json.dumps(pieces)), "array<string>")
+    table = _table(json.dumps(pieces), "array<string>")
     name = free_name(df, "hex")
-    hexed = df.withColumn(name, F.array_join(F.transform(ids, lambda i: F.element_at(table, i + 1)), ""))
+    hexed = df.withColumn(name, _with(table, lambda t: F.array_join(F.transform(ids, lambda i: F.element_at(t, i + 1)), "")))
     return hexed.withColumn(out, F.decode(F.unhex(F.col(name)), "UTF-8")).drop(name)
