@@ -310,3 +310,72 @@ def listing_dates(spark: SparkSession, d: str) -> DataFrame:
     """Dates of listings that name a year."""
     whole = F.col("list_date_text").rlike(rf"^\d{{1,2}} {_AZ} \d{{4}}$")
     return table(spark, d, "candidates").select("seq", F.when(whole, dates.azerbaijani_date(F.col("list_date_text"), F.lit(1970))).otherwise("").alias("list_date"))
+
+
+_IDENT = "substr(source_key, 10)"
+
+
+@query(f"SELECT id, source_key, CASE WHEN coalesce(try_cast(source_item_id AS BIGINT), 0) <= 0 OR {_IDENT} = '' THEN '' WHEN starts_with({_IDENT}, 'peer:') THEN 'https://t.me/c/' || regexp_replace(regexp_extract({_IDENT}, '^peer:-?(\\d+)$', 1), '^100', '') || '/' || try_cast(source_item_id AS BIGINT) ELSE 'https://t.me/' || {_IDENT} || '/' || try_cast(source_item_id AS BIGINT) END AS permalink FROM news WHERE record_kind = 'news' AND source_key IS NOT NULL")
+def message_permalinks(spark: SparkSession, d: str) -> DataFrame:
+    n = table(spark, d, "news").where("record_kind = 'news' and source_key is not null")
+    item = F.coalesce(F.col("source_item_id").try_cast("bigint"), F.lit(0))
+    return n.select("id", "source_key", urls.message_url(F.substr("source_key", F.lit(10)), item).alias("permalink"))
+
+
+@query("SELECT r.raw_id, r.source_name, coalesce(n.published_at, '') AS published_at, coalesce(n.body_text, r.raw_text, '') AS body_text, coalesce(epoch_us(n.created_at), epoch_us(r.observed_at)) AS created_us FROM raw_ingest r LEFT JOIN (SELECT source_key, source_item_id, arg_min(coalesce(published_at, ''), id) AS published_at, arg_min(coalesce(body_text, ''), id) AS body_text, min(created_at) AS created_at FROM news WHERE record_kind = 'news' GROUP BY ALL) n ON n.source_key = r.source_name AND n.source_item_id = r.source_item_id")
+def migrated_records(spark: SparkSession, d: str) -> DataFrame:
+    """Raw records with what the older layout stored of them, missing fields from the payload."""
+    n = table(spark, d, "news").where("record_kind = 'news'").groupBy(F.col("source_key").alias("source_name"), "source_item_id").agg(
+        F.min_by(F.coalesce("published_at", F.lit("")), "id").alias("p"), F.min_by(F.coalesce("body_text", F.lit("")), "id").alias("b"), F.min("created_at").alias("c")
+    )
+    r = table(spark, d, "raw_ingest").select("raw_id", "source_name", "source_item_id", "raw_text", "observed_at").join(n, ["source_name", "source_item_id"], "left")
+    return r.select("raw_id", "source_name", F.coalesce("p", F.lit("")).alias("published_at"), F.coalesce("b", "raw_text", F.lit("")).alias("body_text"), us(F.coalesce("c", "observed_at")).alias("created_us"))
+
+
+@query("SELECT source_key, id FROM (SELECT *, row_number() OVER (PARTITION BY source_key ORDER BY item DESC NULLS LAST, id) AS kept FROM (SELECT * FROM (SELECT source_key, id, body_text, try_cast(source_item_id AS BIGINT) AS item, row_number() OVER (PARTITION BY source_key ORDER BY try_cast(source_item_id AS BIGINT) DESC NULLS LAST, id) AS rn FROM news WHERE record_kind = 'news') WHERE rn <= 25 AND coalesce(body_text, '') <> '')) WHERE kept <= 5")
+def audit_window(spark: SparkSession, d: str) -> DataFrame:
+    """Of the 25 newest messages of a source, the 5 newest with a text: a limit before the filter and one after it."""
+    n = table(spark, d, "news").where("record_kind = 'news'").withColumn("item", F.col("source_item_id").try_cast("bigint"))
+    w = Window.partitionBy("source_key").orderBy(F.col("item").desc_nulls_last(), "id")
+    scanned = n.withColumn("rn", F.row_number().over(w)).where("rn <= 25").where(F.coalesce("body_text", F.lit("")) != "")
+    return scanned.withColumn("kept", F.row_number().over(w)).where("kept <= 5").select("source_key", "id")
+
+
+@query("SELECT s.source_key, s.desired_state, coalesce(n.n_messages, 0) AS n_messages, coalesce(n.last_us, 0) AS last_us, CASE WHEN n.source_key IS NULL THEN 'idle' ELSE 'seen' END AS runtime FROM news s LEFT JOIN (SELECT source_key, count(*) AS n_messages, max(epoch_us(fetched_at)) AS last_us FROM news WHERE record_kind = 'news' GROUP BY source_key) n ON n.source_key = s.source_key WHERE s.record_kind = 'source'")
+def annotated_sources(spark: SparkSession, d: str) -> DataFrame:
+    """Sources with what is known of their runs, ``idle`` where nothing is."""
+    n = table(spark, d, "news")
+    seen = n.where("record_kind = 'news'").groupBy("source_key").agg(F.count(F.lit(1)).alias("n"), F.max(us(F.col("fetched_at"))).alias("u"))
+    s = n.where("record_kind = 'source'").select("source_key", "desired_state").join(seen, "source_key", "left")
+    return s.select("source_key", "desired_state", F.coalesce("n", F.lit(0)).alias("n_messages"), F.coalesce("u", F.lit(0)).alias("last_us"), F.when(F.col("n").isNull(), "idle").otherwise("seen").alias("runtime"))
+
+
+@query("SELECT source_name, arg_max(id, length(coalesce(content_text, '')) * 1000000000 - id) AS id, max(length(coalesce(content_text, ''))) AS n_chars FROM articles GROUP BY source_name")
+def longest_articles(spark: SparkSession, d: str) -> DataFrame:
+    """The longest text of every source; the lower id wins a tie."""
+    n = F.length(F.coalesce("content_text", F.lit("")))
+    return table(spark, d, "articles").groupBy("source_name").agg(F.max_by("id", F.struct(n, -F.col("id"))).alias("id"), F.max(n).cast("bigint").alias("n_chars"))
+
+
+@query("SELECT seq, lower(regexp_extract(trim(url), '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)) AS host, regexp_extract(rtrim(CASE WHEN regexp_matches(trim(url), '^[A-Za-z][A-Za-z0-9+.-]*://') THEN regexp_extract(trim(url), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) ELSE regexp_extract(trim(url), '^([^?#]*)', 1) END, '/'), '([^/]*)$', 1) AS slug FROM candidates WHERE url IS NOT NULL")
+def address_parts(spark: SparkSession, d: str) -> DataFrame:
+    c = table(spark, d, "candidates").where("url is not null")
+    return c.select("seq", urls.url_host(F.col("url")).alias("host"), urls.last_segment(F.col("url")).alias("slug"))
+
+
+@query("SELECT source_name, count(*) AS n, count(*) FILTER (parse_status = 'ok') AS n_ok, count(*) FILTER (parse_status = 'failed') AS n_failed, count(*) FILTER (coalesce(parser_error, '') <> '') AS n_errors, count(DISTINCT content_hash) AS n_hashes FROM raw_ingest GROUP BY source_name")
+def ingest_counters(spark: SparkSession, d: str) -> DataFrame:
+    """Counters of a run by source, from its outcomes."""
+    r = table(spark, d, "raw_ingest")
+    return r.groupBy("source_name").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("parse_status") == "ok").alias("n_ok"), F.count_if(F.col("parse_status") == "failed").alias("n_failed"),
+        F.count_if(F.coalesce("parser_error", F.lit("")) != "").alias("n_errors"), F.countDistinct("content_hash").alias("n_hashes"),
+    )
+
+
+@query("SELECT source_name, source_article_id, id, content_hash IS DISTINCT FROM lag(content_hash) OVER (PARTITION BY source_name, source_article_id ORDER BY id) AS changed FROM articles WHERE source_article_id IS NOT NULL")
+def changed_versions(spark: SparkSession, d: str) -> DataFrame:
+    """Whether a delivery differs from the one before it."""
+    w = Window.partitionBy("source_name", "source_article_id").orderBy("id")
+    a = table(spark, d, "articles").where("source_article_id is not null")
+    return a.select("source_name", "source_article_id", "id", (~F.col("content_hash").eqNullSafe(F.lag("content_hash").over(w))).alias("changed"))
