@@ -55,3 +55,33 @@ def json_ld_field(script: Column, field: str) -> Column:
 
 def embed_url(page: Column) -> Column:
     return normalize_whitespace(F.regexp_extract(page, r"(?is)<(?:iframe|video|source)\s[^>]*src\s*=\s*[\"']([^\"']+)[\"']", 1))
+
+
+def js_string(page: Column, name: str) -> Column:
+    """The decoded value of ``const name = "..."`` in a script, '' if there is none."""
+    raw = F.regexp_extract(page, rf'(?s)(?:const|let|var)\s+{name}\s*=\s*("(?:[^"\\]|\\.)*")', 1)
+    return F.coalesce(F.get_json_object(F.concat(F.lit('{"v":'), raw, F.lit("}")), "$.v"), F.lit(""))
+
+
+def js_scalar(page: Column, key: str) -> Column:
+    """``'key': 'value'`` or ``key = value`` in a script, '' if there is none."""
+    return first_non_empty(F.regexp_extract(page, rf"['\"]{key}['\"]\s*:\s*['\"]([^'\"]*)['\"]", 1), F.regexp_extract(page, rf"\b{key}\s*=\s*['\"]?([\w.-]+)", 1))
+
+
+def breadcrumbs(script: Column) -> Column:
+    """Names of a BreadcrumbList, from the outermost."""
+    names = F.coalesce(F.get_json_object(script, "$.itemListElement[*].name"), F.get_json_object(script, "$.itemListElement[*].item.name"))
+    listed = F.when(names.startswith("["), names).otherwise(F.concat(F.lit("["), names, F.lit("]")))
+    return F.coalesce(F.from_json(listed, "array<string>"), F.array().cast("array<string>"))
+
+
+def nested_of_type(script: Column, kind: str, depth: int = 6) -> Column:
+    """The first object of a type at any place down to ``depth``, as JSON; null if there is none."""
+    level, found = F.array(script), []
+    for _ in range(depth):
+        objects = F.filter(level, lambda x: F.lower(F.get_json_object(x, "$['@type']")) == kind.lower())
+        found.append(F.try_element_at(objects, F.lit(1)))
+        # The values of objects and the elements of lists, one level further down.
+        down = F.transform(level, lambda x: F.when(x.startswith("["), F.from_json(x, "array<string>")).otherwise(F.map_values(F.from_json(x, "map<string,string>"))))
+        level = F.filter(F.flatten(F.filter(down, lambda a: a.isNotNull())), lambda x: x.isNotNull() & x.rlike(r"^\s*[\[{]"))
+    return F.coalesce(*found)

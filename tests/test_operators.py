@@ -82,3 +82,14 @@ def test_entry_and_oracles_name_the_same_queries():
     q, s = __spark_entry__.queries(), __spark_entry__.oracle_sql()
     assert set(s) <= set(q)
     assert "p3_found" in q
+
+
+def test_windows_and_stream_deduplication(spark, tmp_path):
+    rows_ = [("2026-01-01 10:05:00", "a", "1"), ("2026-01-01 10:55:00", "a", "1"), ("2026-01-01 11:05:00", "b", "2"), ("2026-01-01 10:06:00", "a", "3")]
+    spark.createDataFrame(rows_, "ts string, kind string, k string").selectExpr("cast(ts as timestamp) ts", "kind", "k").write.parquet(str(tmp_path / "in"))
+    stream = lambda: spark.readStream.schema("ts timestamp, kind string, k string").parquet(str(tmp_path / "in"))
+    for name, df, mode in (("w", live.windowed_counts(stream(), "ts", "kind", "1 hour", "1 day"), "complete"), ("d", live.deduplicated(stream(), ["k"], "ts", "1 day"), "append")):
+        q = df.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", str(tmp_path / name)).trigger(availableNow=True).start()
+        q.awaitTermination()
+    assert sorted((r.kind, r.n) for r in spark.table("w").collect()) == [("a", 3), ("b", 1)]
+    assert sorted(r.k for r in spark.table("d").collect()) == ["1", "2", "3"]

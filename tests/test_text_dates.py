@@ -45,3 +45,16 @@ def test_html(spark):
     assert one(spark, html.paragraphs(L(page)))[-2:] == ["One", "Two"]
     assert one(spark, html.json_ld_field(L('[{"headline":"x"}]'), "headline")) == "x"
     assert one(spark, html.page_title(L(""))) == ""
+
+
+def test_scripts(spark):
+    assert one(spark, html.js_string(L('x; const rawContent = "a\\u0131 \\"b\\"";'), "rawContent")) == 'aı "b"'
+    assert one(spark, html.js_scalar(L("{'xid': '77', a}"), "xid")) == "77"
+    assert one(spark, html.js_scalar(L("currentPostId = 15;"), "currentPostId")) == "15"
+    assert one(spark, html.js_scalar(L(None).cast("string"), "x")) == ""
+    crumbs = '{"@type":"BreadcrumbList","itemListElement":[{"name":"A"},{"name":"B"}]}'
+    assert one(spark, html.breadcrumbs(L(crumbs))) == ["A", "B"]
+    assert one(spark, html.breadcrumbs(L("no json"))) == []
+    deep = '{"@graph":[{"x":{"@type":"NewsArticle","headline":"H"}},{"@type":"WebSite"}]}'
+    assert one(spark, F.get_json_object(html.nested_of_type(L(deep), "newsarticle"), "$.headline")) == "H"
+    assert one(spark, html.nested_of_type(L("[]"), "newsarticle")) is None
