@@ -38,6 +38,20 @@ def test_single_byte_pages(dicts):
         assert encoding.repair(clean, c) is None
 
 
+@pytest.mark.parametrize("step", [s[:2] for s in encoding.STEPS if {"koi8-r", "cp866"} & set(s[:2])])
+@pytest.mark.parametrize("text", [RU, "Дилзир Товтерович посетил город", RU.lower(), RU.upper()])
+def test_cyrillic_pages(dicts, step, text):
+    page, real = step
+    bad = "".join(encoding._DECODE[page][b] for b in encoding.codecs.charmap_encode(text, "strict", encoding._ENCODE[real])[0]) if real != "utf-8" else garble(text, page)
+    assert re.search(encoding.SUSPECT, bad)
+    assert encoding.repair(bad, encoding._compressors(tuple(dicts))) == text
+
+
+def test_clean_cyrillic_stays(dicts):
+    for clean in (RU.upper(), "ВКонтакте и ОБСЕ", "ВАЖНОЕ СООБЩЕНИЕ", "Чей это новый жюри", "Фото: АПА"):
+        assert encoding.repair(clean, encoding._compressors(tuple(dicts))) is None
+
+
 def test_encoding_cases(spark, dicts):
     df = spark.createDataFrame([(1, garble(AZ, "cp1252"), "x"), (2, None, "x"), (3, "", "x"), (4, "a�b", "x"), (5, AZ * 200, "x"), (1, garble(AZ, "cp1252"), "x")], "id int, v string, value string")
     got = sorted((r.id, r.affected, r.restored) for r in encoding.repair_encoding(df, "v", dicts).collect())
