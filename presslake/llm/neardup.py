@@ -1,8 +1,8 @@
 """Records that share nearly all their words, found by bands of minhashes and a bit-sliced comparison.
 
-1. Each text is reduced to a class (the digest of its multiset of words), an odd sketch and minhashes of its shingles of five
-   words. Copies of one class are represented once from here on.
-2. Two minhashes make the key of a band. Buckets of one class are dropped. A bucket of more than ``BLOCK`` classes is cut
+1. Each text is reduced to a class (the digest of its multiset of words), an odd sketch and minhashes of its multiset of words.
+   Copies of one class are represented once from here on.
+2. ``ROWS`` minhashes make the key of a band. Buckets of one class are dropped. A bucket of more than ``BLOCK`` classes is cut
    into blocks, and every pair of blocks is a task of its own, so that no bucket has to fit into one task.
 3. Within a bucket all sketches are compared at once: bit planes are stored vertically, one lane per record, shifted against
    themselves, and the differing bits are counted by carry-save adders. Blocks of lanes that all exceed their radius are
@@ -14,11 +14,13 @@ Similarity is the number of shared words, counted with repetition, over the word
 
 Defined results
     null text ................................ empty; under ``MIN_WORDS`` words, so no link
-    under ``MIN_WORDS`` words, or U+FFFD ..... no link
+    under ``MIN_WORDS`` words, or U+FFFD ..... no link; in ``classes_with_links`` a class of exact copies of the text
+    null or empty text there ................. a class of its own
     copies under other keys .................. linked like any pair; equal keys are not linked with themselves
     no records ............................... no links
     texts whose words are the same in another order ... one class
-Only the bands can miss a pair: with a Jaccard similarity j of the shingles the chance is (1 - j^2)^BANDS.
+Only the bands can miss a pair: with a Jaccard similarity j of the multisets, which is at least 2/3 for a true pair, the chance
+is (1 - j^ROWS)^BANDS, under 1e-6, wherever the edits lie.
 """
 
 from __future__ import annotations
@@ -36,8 +38,8 @@ from pyspark.sql import functions as F
 
 from presslake.session import MAX_BROADCAST_ROWS, checkpointed, ship
 
-THRESHOLD, MIN_WORDS, SHINGLE = 0.8, 30, 5
-BANDS, ROWS = 24, 2
+THRESHOLD, MIN_WORDS = 0.8, 30
+BANDS, ROWS = 64, 4
 BITS, CHUNK, LANE_BLOCK = 512, 128, 64  # planes of a sketch, planes of a chunk, bytes of lanes that are abandoned together
 BLOCK = 512
 _WORDS = re.compile(r"[^ \t\n]+")
@@ -55,13 +57,10 @@ def sketch(hashes: np.ndarray) -> tuple[bytes, bytes, np.ndarray]:
         ordered = np.sort(hashes)
         first = np.r_[True, ordered[1:] != ordered[:-1]]
         place = np.arange(len(ordered)) - np.maximum.accumulate(np.where(first, np.arange(len(ordered)), 0))
-        bits = (_mix(ordered + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BITS.bit_length() + 1)).astype(np.int64)
+        words = _mix(ordered + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        bits = (words >> np.uint64(64 - BITS.bit_length() + 1)).astype(np.int64)
         odd = np.packbits((np.bincount(bits, minlength=BITS) & 1).astype(np.uint8))
-        n = max(1, len(hashes) - SHINGLE + 1)
-        s = np.zeros(n, np.uint64)
-        for k in range(min(SHINGLE, len(hashes))):
-            s = _mix(s * np.uint64(31) + hashes[k : k + n])
-        least = _mix(s[None, :] * _SEEDS[:, None]).min(1)
+        least = _mix(words[None, :] * _SEEDS[:, None]).min(1)
         keys = least[0::ROWS]
         for r in range(1, ROWS):
             keys = _mix(keys * np.uint64(3) + least[r::ROWS])

@@ -45,6 +45,15 @@ def test_near_duplicates_against_brute_force(spark):
     assert neardup.similar_pairs(df.limit(0)).count() == 0
 
 
+def test_scattered_edits_are_found(spark):
+    rows = []
+    for i in range(12):  # every fifth word replaced: no shingle of five words in common
+        a = [f"a{i}x{k}" for k in range(40 + 50 * i)]
+        rows += [(f"p{i}", " ".join(a)), (f"q{i}", " ".join(f"new{i}x{k}" if k % 5 == 4 else w for k, w in enumerate(a)))]
+    got = {(r.key_a, r.key_b) for r in neardup.similar_pairs(spark.createDataFrame(rows, "key string, text string")).collect()}
+    assert got == brute(rows) == {(f"p{i}", f"q{i}") for i in range(12)}
+
+
 def test_bit_sliced_distances_equal_plain_ones():
     r = np.random.default_rng(3)
     for n, density in ((5, 0.5), (700, 0.5), (1500, 0.03)):
