@@ -241,4 +241,10 @@ def classes_with_links(records: DataFrame) -> DataFrame:
     member, links = similar_classes(records)
     ends = links.select(F.explode(F.array("rep_a", "rep_b")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("n_links"))
     copies = member.groupBy("rep").agg(F.count(F.lit(1)).alias("n_copies"))
-    return member.join(copies, "rep").join(ends, "rep", "left").select("key", F.col("rep").alias("class_key"), "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    linked = member.join(copies, "rep").join(ends, "rep", "left").select("key", F.col("rep").alias("class_key"), "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    # Texts that take no part: only their digests move. Without text there is nothing to be a copy of.
+    rest = records.select("key", F.when(F.length("text") > 0, F.md5(F.col("text").cast("binary"))).alias("same")).join(member.select("key"), "key", "left_anti")
+    rest = rest.withColumn("same", F.coalesce("same", F.concat(F.lit("key "), F.col("key"))))
+    alone = rest.groupBy("same").agg(F.min("key").alias("class_key"), F.count(F.lit(1)).alias("n_copies"))
+    alone = rest.join(alone, "same").select("key", "class_key", "n_copies", F.lit(0).alias("n_links"))
+    return linked.unionByName(alone)

@@ -54,6 +54,14 @@ def test_scattered_edits_are_found(spark):
     assert got == brute(rows) == {(f"p{i}", f"q{i}") for i in range(12)}
 
 
+def test_every_record_has_a_class(spark):
+    whole = " ".join(f"w{k}" for k in range(40))
+    rows = [("a", whole), ("b", whole), ("null1", None), ("null2", None), ("empty1", ""), ("empty2", ""), ("s1", "bir iki"), ("s2", "bir iki"), ("s3", "üç"), ("lost", whole + " �"), ("x", "a b " * 20)]
+    got = sorted((r.key, r.class_key, r.n_copies, r.n_links) for r in neardup.classes_with_links(spark.createDataFrame(rows, "key string, text string")).collect())
+    alone = [(k, k, 1, 0) for k in ("empty1", "empty2", "lost", "null1", "null2", "s3", "x")]
+    assert got == sorted([("a", "a", 2, 0), ("b", "a", 2, 0), ("s1", "s1", 2, 0), ("s2", "s1", 2, 0), *alone])
+
+
 def test_bit_sliced_distances_equal_plain_ones():
     r = np.random.default_rng(3)
     for n, density in ((5, 0.5), (700, 0.5), (1500, 0.03)):
