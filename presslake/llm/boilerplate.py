@@ -203,16 +203,29 @@ def boilerplate_texts(stories: DataFrame) -> DataFrame:
 class TextJudge:
     """Tells the story's lines of a text without markup from what pages carry around stories."""
 
-    def __init__(self, known: list[tuple[str, str]]):
+    def __init__(self, known: list[tuple[str, str]], longest: int | None = None):
         self.blocks = {t for k, t in known if k == "block" and len(t.split()) < MAX_FRAME_WORDS}
         self.heads = {t for k, t in known if k == "head"}
         self.openings = {t for k, t in known if k == "opening"}
         self.pointers = {t for k, t in known if k == "pointer"}
-        self.longest = max(map(len, self.blocks | self.heads), default=0)
+        self.longest = max(map(len, self.blocks | self.heads), default=0) if longest is None else longest
         self._mark = re.compile(r"©|^(copyright|копирайт)\b", re.I)
         self._end = re.compile(r"[.!?…][”\"»’')\]]*$")
         self._items = re.compile(r"\s*[|/·•»›–—]\s+|\s{2,}| | [|/·•] ")
 
+    def _parts(self, as_is: str) -> list[str]:
+        return [re.sub(r"\d+", "0", _SPACE.sub(" ", p).strip()) for p in self._items.split(as_is.strip()) if p.strip()]
+
+    def strings(self, text: str) -> list[str]:
+        """All strings that ``story`` looks up, each once."""
+        found: dict[str, None] = {}
+        for as_is in text.split("\n"):
+            line = _SPACE.sub(" ", as_is).strip()
+            if line and len(line) <= self.longest + 100:
+                opening = [line.split(":", 1)[0]] if ":" in line[:41] else []
+                found.update(dict.fromkeys([re.sub(r"\d+", "0", line), *self._parts(as_is), *opening]))
+        return list(found)
+
     def story(self, text: str, title: str | None) -> list[str]:
         """The paragraphs if the text carries boilerplate, else nothing."""
         raw = [x for x in text.split("\n") if x.strip(" \t\r ")]
@@ -223,7 +236,7 @@ class TextJudge:
                 kinds.append("text" if self._end.search(line) else "short")
                 continue
             plain = re.sub(r"\d+", "0", line)
-            parts = [re.sub(r"\d+", "0", _SPACE.sub(" ", p).strip()) for p in self._items.split(as_is.strip()) if p.strip()]
+            parts = self._parts(as_is)
             known = sum(p in self.blocks for p in parts)
             opening = line.split(":", 1)[0] if ":" in line[:41] else ""
             if plain in self.heads:
@@ -271,3 +284,40 @@ def story_of_texts(df: DataFrame, text: str, title: str, known: list[tuple[str,
     judge.__annotations__ = {"batches": Iterator[tuple[pd.Series, pd.Series]], "return": Iterator[pd.Series]}
     udf = F.pandas_udf(judge, "array<string>").asNondeterministic()
     return df.select(*keep, udf(F.col(text), F.col(title)).alias("story"))
+
+
+def story_by_join(df: DataFrame, text: str, title: str, known: DataFrame, keep: list[str]) -> DataFrame:
+    """``story_of_texts`` for a dictionary (kind, text) of any size: hashed strings of the texts meet it in a shuffle.
+
+    What a text looks up depends on the text alone, so texts are told apart by digest, and only digests and hashes move.
+    """
+    ship(df.sparkSession)
+    framed = (F.col("kind") == "head") | ((F.col("kind") == "block") & (F.size(F.split("text", " ")) < MAX_FRAME_WORDS))
+    longest = known.agg(F.max(F.when(framed, F.length("text")))).first()[0] or 0
+
+    def strings(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        j = TextJudge([], longest)
+        for texts in batches:
+            yield pd.Series([j.strings(t) if t else [] for t in texts], dtype=object)
+
+    def judge(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        asked = TextJudge([], longest)
+        for texts, titles, kinds, places in batches:
+            out = []
+            for t, h, ks, ps in zip(texts, titles, kinds, places):
+                if not t or ks is None or not len(ks):
+                    out.append(asked.story(t, h) if t else [])  # marks of copyright need no dictionary
+                    continue
+                own = asked.strings(t)
+                out.append(TextJudge([(k, own[p]) for k, p in zip(ks, ps)], longest).story(t, h))
+            yield pd.Series(out, dtype=object)
+
+    strings.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    judge.__annotations__ = {"batches": Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]], "return": Iterator[pd.Series]}
+    digest = F.md5(F.col(text).cast("binary"))
+    texts = df.where(F.length(text) > 0).select(digest.alias("digest"), F.pandas_udf(strings, "array<string>").asNondeterministic()(F.col(text)).alias("own"))
+    asked = texts.select("digest", F.posexplode(F.transform("own", lambda x: F.xxhash64(x))).alias("place", "h")).distinct()
+    hits = asked.join(known.select("kind", F.xxhash64("text").alias("h")).distinct(), "h").groupBy("digest").agg(F.collect_list(F.struct("kind", "place")).alias("hits"))
+    joined = df.select(*keep, F.col(text).alias("t_"), F.col(title).alias("h_"), digest.alias("digest")).join(hits, "digest", "left")
+    udf = F.pandas_udf(judge, "array<string>").asNondeterministic()
+    return joined.select(*keep, udf("t_", "h_", F.col("hits.kind"), F.col("hits.place")).alias("story"))

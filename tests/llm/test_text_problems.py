@@ -4,7 +4,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from presslake.llm import boilerplate, canonical, encoding, language, lines
+from presslake.llm import boilerplate, canonical, encoding, language, lines, queries
 
 TR = "Toplantıda yeni proje görüşüldü ve çalışmaların yıl sonuna kadar tamamlanacağı söylendi. Işıl öğretmen ağaçları gösterdi."
 RU = "В мероприятии приняли участие более ста гостей, и совещание закончилось поздно вечером. Новый проект обсудили подробно."
@@ -160,3 +160,11 @@ def test_boilerplate(spark):
     df = spark.createDataFrame([(1, text, "B"), (2, STORY.format("e"), "B"), (3, None, None), (4, "", "")], "i int, t string, h string")
     assert {r.i: r.story for r in boilerplate.story_of_texts(df, "t", "h", known, ["i"]).collect()} == {1: [STORY.format("c"), STORY.format("d")], 2: [], 3: [], 4: []}
     assert boilerplate.winning_paths(read.limit(0), "host").count() == 0
+
+
+def test_a_dictionary_of_any_size(spark, monkeypatch):
+    want = queries.p4_found(spark, "/root/testdata/sf0.01").collect()
+    monkeypatch.setattr(queries, "MAX_BROADCAST_ROWS", 1)
+    got = queries.p4_found(spark, "/root/testdata/sf0.01").collect()
+    assert sum(r.rec_kind == "articles" for r in want) > 0
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
