@@ -78,12 +78,35 @@ def test_bit_sliced_distances_equal_plain_ones():
             assert ((near <= 40) == (plain <= 40)).all()
 
 
-def test_a_bucket_larger_than_a_block_loses_nothing(spark, monkeypatch):
-    monkeypatch.setattr(neardup, "BLOCK", 7)
+@pytest.mark.parametrize("sample", [64, 1])  # with 1, every bucket of two or more is hot
+def test_buckets_larger_than_a_block_and_hot_ones_lose_nothing(spark, monkeypatch, sample):
+    for name, value in (("BLOCK", 7), ("SAMPLE", sample), ("HOT_IN_SAMPLE", 2), ("PART", 2)):
+        monkeypatch.setattr(neardup, name, value)
     base = [f"w{i}" for i in range(60)]
     rows = [(f"k{i:02d}", " ".join(base[:-1] + [f"x{i}"])) for i in range(40)]
-    got = {(r.key_a, r.key_b) for r in neardup.similar_pairs(spark.createDataFrame(rows, "key string, text string")).collect()}
-    assert len(got) == 40 * 39 // 2
+    rows += [(f"m{i:02d}", " ".join([*base, *[f"y{i}z{k}" for k in range(i)]])) for i in range(14)]  # lengths over a class of lengths
+    rows += [(f"c{i}", rows[3][1]) for i in range(5)]
+    got = [(r.key_a, r.key_b) for r in neardup.similar_pairs(spark.createDataFrame(rows, "key string, text string")).collect()]
+    assert len(got) == len(set(got)) and set(got) == brute(rows)
+
+
+@pytest.mark.parametrize("n", [30, 60, 200, 1000])
+@pytest.mark.parametrize(("similarity", "least"), [(0.8, 0.99), (0.85, 1), (0.9, 1)])
+def test_bands_find_edits_of_every_kind(n, similarity, least):
+    r = np.random.default_rng(n)
+    shared, found, tried = int(np.ceil(similarity * n)), 0, 0
+    for _ in range(100):
+        words = r.integers(1, 2**63, n, dtype=np.uint64)
+        fresh = r.integers(1, 2**63, n, dtype=np.uint64)
+        keep = r.permutation(n) < shared  # random places
+        even = np.arange(n) * shared // n != (np.arange(n) + 1) * shared // n
+        block = np.arange(n) < shared
+        for kept in (keep, even, block):
+            other = np.where(kept, words, fresh)
+            for text in (other, words[kept]):  # replaced or left out
+                found += (neardup.sketch(words)[2] == neardup.sketch(text)[2]).any()
+                tried += 1
+    assert found >= least * tried
 
 
 def test_sketch_distance_is_a_lower_bound():
