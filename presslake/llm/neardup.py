@@ -55,7 +55,7 @@ SAMPLE, HOT_IN_SAMPLE = 64, 512
 PART = 1000
 _WORDS = re.compile(r"[^ \t\n]+")
 _OFFSETS = np.arange(BANDS) * 0.6180339887 % 1
-_SEEDS = np.random.default_rng(20260101).integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
+_SEEDS = np.random.default_rng(20260101).integers(1, 2**32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -72,7 +72,7 @@ def sketch(hashes: np.ndarray) -> tuple[bytes, bytes, np.ndarray]:
         words = _mix(ordered + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         bits = (words >> np.uint64(64 - BITS.bit_length() + 1)).astype(np.int64)
         odd = np.packbits((np.bincount(bits, minlength=BITS) & 1).astype(np.uint8))
-        least = _mix(words[None, :] * _SEEDS[:, None]).min(1)
+        least = ((words >> np.uint64(16)).astype(np.uint32)[None, :] * _SEEDS[:, None]).min(1).astype(np.uint64)
         keys = np.floor(np.log(len(words)) / -np.log(THRESHOLD) / LENGTH_STEPS + _OFFSETS).astype(np.uint64)
         for r in range(ROWS):
             keys = _mix(keys * np.uint64(0xC4CEB9FE1A85EC53) + least[r::ROWS])
@@ -104,48 +104,72 @@ def _sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["key", "cls", "n", "odd", "bands"])
 
 
+class Planes:
+    """Bit planes of sketches, one lane per sketch, and their copies shifted by one to seven lanes."""
+
+    def __init__(self, planes: np.ndarray):
+        self.width = -(-planes.shape[1] // LANE_BLOCK) * LANE_BLOCK
+        self.shifted = [np.zeros((len(planes), 2 * self.width + LANE_BLOCK), np.uint8)]
+        self.shifted[0][:, : planes.shape[1]] = planes
+
+    def _from(self, shift: int, blocks: int) -> np.ndarray:
+        """(planes, blocks, bytes) of the lanes from ``shift`` on."""
+        q, r = divmod(shift, 8)
+        while len(self.shifted) <= r:
+            last = self.shifted[-1]
+            after = last << 1
+            after[:, :-1] |= last[:, 1:] >> 7
+            self.shifted.append(after)
+        x = self.shifted[r][:, q:]
+        return np.lib.stride_tricks.as_strided(x, (len(x), blocks, LANE_BLOCK), (x.strides[0], LANE_BLOCK, 1), writeable=False)
+
+    def distances(self, shift: int, lanes: int, radius: np.ndarray) -> np.ndarray:
+        """Bit distances of the first ``lanes`` lanes to those ``shift`` later; BITS + 1 where a block was abandoned."""
+        blocks = -(-lanes // (LANE_BLOCK * 8))
+        left, right = self._from(0, blocks), self._from(shift, blocks)
+        limit = np.full(blocks * LANE_BLOCK * 8, -1, np.int16)
+        limit[:lanes] = np.minimum(radius, BITS)
+        limit = limit.reshape(blocks, -1)
+        alive = np.flatnonzero((limit >= 0).any(1))
+        total = np.full(limit.shape, BITS + 1, np.int16)
+        total[alive] = 0
+        for at in range(0, BITS, CHUNK):
+            if not len(alive):
+                break
+            some = alive if len(alive) < blocks else slice(None)
+            total[some] += _ones(left[at : at + CHUNK, some] ^ right[at : at + CHUNK, some])
+            dead = ~(total[alive] <= limit[alive]).any(1)
+            total[alive[dead]] = BITS + 1
+            alive = alive[~dead]
+        return total.ravel()[:lanes]
+
+
+def _ones(level: np.ndarray) -> np.ndarray:
+    """How many of at most 255 planes have each lane's bit, by carry-save adders; the planes are used up."""
+    count, weight, n = np.zeros((level.shape[1], level.shape[2] * 8), np.uint8), 0, len(level)
+    while n:
+        carry, used = np.empty((n // 2, *level.shape[1:]), np.uint8), 0
+        while n >= 3:  # full adders on whole planes: three of one weight give one, and a carry of twice the weight
+            k = n // 3
+            a, b, c, more = level[:k], level[k : 2 * k], level[2 * k : 3 * k], carry[used : used + k]
+            ab = a ^ b
+            np.bitwise_and(a, b, out=more)
+            np.bitwise_and(ab, c, out=a)
+            more |= a
+            np.bitwise_xor(ab, c, out=a)
+            level[k : k + n - 3 * k] = level[3 * k : n]
+            used, n = used + k, k + n - 3 * k
+        if n == 2:
+            np.bitwise_and(level[0], level[1], out=carry[used])
+            level[0] ^= level[1]
+            used += 1
+        count += np.unpackbits(level[0], axis=1) << weight
+        level, n, weight = carry, used, weight + 1
+    return count
+
+
 def distances(planes: np.ndarray, shift: int, lanes: int, radius: np.ndarray) -> np.ndarray:
-    """Bit distances of the first ``lanes`` lanes to those ``shift`` later; BITS + 1 where a block was abandoned."""
-    width = (lanes + 7) // 8
-    pad = -width % LANE_BLOCK
-    q, r = divmod(shift, 8)
-    left = np.zeros((planes.shape[0], width + pad), np.uint8)
-    right = left.copy()
-    left[:, :width] = planes[:, :width]
-    part = planes[:, q : q + width + 1].astype(np.uint8)
-    part = np.pad(part, ((0, 0), (0, width + 1 - part.shape[1])))
-    right[:, :width] = part[:, :width] if r == 0 else (part[:, :width] << r) | (part[:, 1:] >> (8 - r))
-    diff = left ^ right
-    blocks = diff.shape[1] // LANE_BLOCK
-    diff = diff.reshape(BITS, blocks, LANE_BLOCK)
-    limit = np.full((width + pad) * 8, -1)
-    limit[:lanes] = radius
-    limit = limit.reshape(blocks, LANE_BLOCK * 8)
-    alive = np.flatnonzero((limit >= 0).any(1))
-    total = np.zeros((blocks, LANE_BLOCK * 8), np.int32)
-    for at in range(0, BITS, CHUNK):
-        level, weight = diff[at : at + CHUNK][:, alive], 1
-        count = np.zeros((len(alive), LANE_BLOCK * 8), np.int32)
-        while len(level):
-            carries = []
-            while len(level) >= 3:  # full adders on whole planes: three of one weight give one, and a carry of twice the weight
-                k = len(level) // 3
-                a, b, c = level[:k], level[k : 2 * k], level[2 * k : 3 * k]
-                ab = a ^ b
-                carries.append((a & b) | (c & ab))
-                level = np.concatenate([ab ^ c, level[3 * k :]])
-            if len(level) == 2:
-                carries.append(level[:1] & level[1:])
-                level = level[:1] ^ level[1:]
-            count += np.unpackbits(level[0], axis=1).astype(np.int32) * weight
-            level, weight = np.concatenate(carries) if carries else level[:0], weight * 2
-        total[alive] += count
-        alive = alive[(total[alive] <= limit[alive]).any(1)]
-        if not len(alive):
-            break
-    dead = np.setdiff1d(np.arange(blocks), alive)
-    total[dead] = BITS + 1
-    return total.ravel()[:lanes]
+    return Planes(planes).distances(shift, lanes, radius)
 
 
 def close_pairs(group: np.ndarray, odd: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -157,7 +181,7 @@ def close_pairs(group: np.ndarray, odd: np.ndarray, n: np.ndarray) -> tuple[np.n
     size_of = np.repeat(sizes[order], sizes[order])
     place = np.concatenate([np.arange(sizes[g]) for g in order])
     length = n[lanes].astype(np.int64)
-    planes = np.packbits(np.unpackbits(odd[lanes], axis=1).T, axis=1)
+    planes = Planes(np.packbits(np.unpackbits(odd[lanes], axis=1).T, axis=1))
     left, right = [], []
     for shift in range(1, int(sizes.max())):
         active = int(np.searchsorted(-size_of, -shift, side="left"))  # lanes of groups with more than ``shift`` members
@@ -169,7 +193,7 @@ def close_pairs(group: np.ndarray, odd: np.ndarray, n: np.ndarray) -> tuple[np.n
         need = np.ceil(THRESHOLD * longer - 1e-9).astype(np.int64)
         inside = (place[:m] + shift < size_of[:m]) & (np.minimum(a, b) >= need)
         radius = np.where(inside, a + b - 2 * need, -1)
-        hit = np.flatnonzero(distances(planes, shift, m, radius) <= radius)
+        hit = np.flatnonzero(planes.distances(shift, m, radius) <= radius)
         left.append(lanes[hit])
         right.append(lanes[hit + shift])
     return (np.concatenate(left), np.concatenate(right)) if left else (np.empty(0, int), np.empty(0, int))
