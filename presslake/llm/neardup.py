@@ -79,8 +79,16 @@ def sketch(hashes: np.ndarray) -> tuple[bytes, bytes, np.ndarray]:
     return hashlib.md5(ordered.tobytes()).digest(), odd.tobytes(), (keys >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
+class _Hashes(dict):
+    """Hashes of words, remembered."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = h = xxhash.xxh3_64_intdigest(word)
+        return h
+
+
 def _sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    known: dict[str, int] = {}
+    known = _Hashes()
     told: set[bytes] = set()
     for pdf in batches:
         out = []
@@ -92,13 +100,7 @@ def _sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 known.clear()
             if len(told) > 500_000:
                 told.clear()
-            hashes = []
-            for w in words:
-                h = known.get(w)
-                if h is None:
-                    h = known[w] = xxhash.xxh3_64_intdigest(w)
-                hashes.append(h)
-            digest, odd, keys = sketch(np.array(hashes, np.uint64))
+            digest, odd, keys = sketch(np.fromiter(map(known.__getitem__, words), np.uint64, len(words)))
             out.append((key, digest, len(words), *((None, None) if digest in told else (odd, keys))))
             told.add(digest)
         yield pd.DataFrame(out, columns=["key", "cls", "n", "odd", "bands"])
@@ -177,22 +179,23 @@ def close_pairs(group: np.ndarray, odd: np.ndarray, n: np.ndarray) -> tuple[np.n
     starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
     sizes = np.diff(np.r_[starts, len(group)])
     order = np.argsort(-sizes, kind="stable")  # the larger groups first, so that active lanes are always a beginning
-    lanes = np.concatenate([np.arange(starts[g], starts[g] + sizes[g]) for g in order])
     size_of = np.repeat(sizes[order], sizes[order])
-    place = np.concatenate([np.arange(sizes[g]) for g in order])
-    length = n[lanes].astype(np.int64)
-    planes = Planes(np.packbits(np.unpackbits(odd[lanes], axis=1).T, axis=1))
+    place = np.arange(len(group)) - np.repeat(np.cumsum(sizes[order]) - sizes[order], sizes[order])
+    lanes = np.repeat(starts[order], sizes[order]) + place
+    left_over = (size_of - place).astype(np.int32)  # lanes to the end of the group
+    length = n[lanes].astype(np.int32)
+    need = np.ceil(THRESHOLD * length - 1e-9).astype(np.int32)  # words that a text of this length must share with a shorter one
+    columns = np.ascontiguousarray(odd[lanes].T)
+    planes = Planes(np.stack([np.packbits((columns >> (7 - k)) & 1, axis=1) for k in range(8)], axis=1).reshape(BITS, -1))
     left, right = [], []
     for shift in range(1, int(sizes.max())):
         active = int(np.searchsorted(-size_of, -shift, side="left"))  # lanes of groups with more than ``shift`` members
         m = min(active, len(lanes) - shift)
         if m <= 0:
             break
-        a, b = length[:m], length[shift : shift + m]
-        longer = np.maximum(a, b)
-        need = np.ceil(THRESHOLD * longer - 1e-9).astype(np.int64)
-        inside = (place[:m] + shift < size_of[:m]) & (np.minimum(a, b) >= need)
-        radius = np.where(inside, a + b - 2 * need, -1)
+        a, b, share = length[:m], length[shift : shift + m], np.maximum(need[:m], need[shift : shift + m])
+        radius = a + b - 2 * share
+        radius[(left_over[:m] <= shift) | (np.minimum(a, b) < share)] = -1
         hit = np.flatnonzero(planes.distances(shift, m, radius) <= radius)
         left.append(lanes[hit])
         right.append(lanes[hit + shift])
