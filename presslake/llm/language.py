@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from presslake.llm.encoding import SUSPECT, candidates
+from presslake.llm.encoding import candidates, utf8_readings
 from presslake.session import bounded_rows, ship
 
 LANGS = ("az", "ru", "en", "tr")
@@ -45,7 +45,6 @@ CODES = {"az": "az", "aze": "az", "azb": "az", "azj": "az", "ru": "ru", "rus": "
 _WORD = re.compile(r"[^\W\d_]+(?:[’'-][^\W\d_]+)*")
 _NOISE = re.compile(r"https?://\S+|www\.\S+|\S+@\S+|[#@]\w+|\b\w+\.(?:example|com|az|ru|net|org)\b")
 _CYRILLIC = re.compile("[Ѐ-ӿ]")
-_SUSPECT = re.compile(SUSPECT)
 
 
 class SuffixAutomaton:
@@ -144,9 +143,9 @@ class Scorer:
             if judged is None:
                 continue
             n, score = judged
-            if score.min() > 0.05 and not raw.isascii() and _SUSPECT.search(raw):
+            if score.min() > 0.05 and not raw.isascii() and utf8_readings(raw):
                 # Wrongly decoded text: of its readings, the one that needs the fewest phrases.
-                for _, other in candidates(raw)[1:]:
+                for _, other in candidates(raw, False)[1:]:
                     if (again := self.line(other)) is not None and again[1].min() < score.min():
                         n, score = again
             best = {}
@@ -199,7 +198,7 @@ def train_models(labelled: DataFrame, key: str, lang: str, text: str) -> tuple[t
     if not chosen:
         return ()
     for r in bounded_rows(labelled.where(F.col(key).isin(list(chosen))).select(key, text), 4 * len(chosen) + 1000, "sample texts"):
-        rows.setdefault(chosen[r[key]], []).extend(x for x in (r[text] or "").split("\n") if x.strip() and "�" not in x and len(candidates(x)) == 1)
+        rows.setdefault(chosen[r[key]], []).extend(x for x in (r[text] or "").split("\n") if x.strip() and "�" not in x and not utf8_readings(x))
     # An outlier of script is foreign to its language, whatever its label.
     for m in rows:
         wants = m in ("ru_main", "az_cyrl")

@@ -17,8 +17,8 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = articles.select("id", "source_name", F.concat_ws("\n", "title", "content_text").alias("text")).join(F.broadcast(portals), "source_name")
     dictionaries = encoding.train_dictionaries(labelled, "id", "main_lang", "text")
     field = lambda name: F.struct(F.lit(name).alias("field_name"), F.col(name).alias("value"))
-    # Values without a suspect sequence have no second reading; they are dropped before Python sees them.
-    values = articles.select("id", F.inline(F.array(field("title"), field("content_text")))).where(F.col("value").rlike(encoding.SUSPECT))
+    # ASCII has no second reading; it is dropped before Python sees it.
+    values = articles.select("id", F.inline(F.array(field("title"), field("content_text")))).where(F.col("value").rlike(encoding.BEYOND_ASCII))
     done = encoding.repair_encoding(values, "value", dictionaries)
     return done.where("affected").select("id", "field_name", F.when(F.col("value").contains("�"), F.lit("")).otherwise(F.md5(F.col("restored").cast("binary"))).alias("restored_md5"))
 

@@ -43,10 +43,29 @@ def test_single_byte_pages(dicts):
 def test_cyrillic_pages(dicts, step, text):
     page, real = step
     bad = "".join(encoding._DECODE[page][b] for b in encoding.codecs.charmap_encode(text, "strict", encoding._ENCODE[real])[0]) if real != "utf-8" else garble(text, page)
-    assert re.search(encoding.SUSPECT, bad)
     assert encoding.repair(bad, encoding._compressors(tuple(dicts))) == text
 
 
+def test_no_reading_is_overlooked():
+    """Whatever page UTF-8 was read with, the quick test for it lets the text through; other text beyond ASCII is not tested at all."""
+    for page, table in encoding._DECODE.items():
+        for cp in [*range(0x80, 0xD800), *range(0xE000, 0x10000), *range(0x10000, 0x110000, 61)]:
+            bad = "".join(table[b] for b in chr(cp).encode())
+            assert (page, chr(cp)) in encoding.utf8_readings(bad) if cp % 97 == 0 else encoding._AS_UTF8.search(bad) and not encoding._FOREIGN.search(bad)
+            assert re.search(encoding.BEYOND_ASCII, bad)
+
+
+@pytest.mark.parametrize(("page", "real"), [(p, r) for p, r, _ in encoding.STEPS if r in encoding.CYRILLIC and "mac-cyrillic" not in (p, r)])
+def test_every_pair_of_pages(dicts, page, real):
+    for text in (RU, RU.lower(), "Дилзир Товтерович посетил город"):
+        raw = encoding.codecs.charmap_encode(text, "strict", encoding._ENCODE[real])[0]
+        assert encoding.repair("".join(encoding._DECODE[page][b] for b in raw), encoding._compressors(tuple(dicts))) == text
+
+
+def test_turkish_read_as_cyrillic(dicts):
+    assert encoding.repair(TR.encode("cp1254").decode("cp1251"), encoding._compressors(tuple(dicts))) == TR
+
+
 def test_clean_cyrillic_stays(dicts):
     for clean in (RU.upper(), "ВКонтакте и ОБСЕ", "ВАЖНОЕ СООБЩЕНИЕ", "Чей это новый жюри", "Фото: АПА"):
         assert encoding.repair(clean, encoding._compressors(tuple(dicts))) is None
