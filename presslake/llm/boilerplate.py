@@ -6,8 +6,10 @@
 2. Votes are counted per host in Spark; paths with at least ``MIN_SHARE`` of a host's votes win, in order of votes.
 3. Every page is extracted again with the first winning path of its host that it has.
 
-Text that was saved without markup is judged by what the pages taught: blocks outside the winning paths that return on
-pages (menu entries, notices, buttons, headings of side columns, feet), and the openings of pointers and address lines.
+Text that was saved without markup is a page whose paths were lost. It is judged by the consensus of the pages: blocks that
+return outside the winning paths of a host (menu entries, notices, buttons, headings of side columns, feet), the openings of
+pointers and address lines there, and how likely a line of its length and ending stands in the story of a page. Nothing about
+words, classes or lengths is fixed beforehand.
 
 Defined results
     null, empty, unparsable html ............. no paragraphs
@@ -30,16 +32,21 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from presslake.session import ship
+from presslake.session import bounded_rows, ship
 
 MIN_SHARE = 0.15
-#: Words that make a block running text, and pages that make a block outside the story boilerplate.
-RUNNING_WORDS, MIN_PAGES = 6, 3
-#: Blocks of more words are stories or teasers that several pages carry, not their frame.
-MAX_FRAME_WORDS = 25
+#: Words that make a block running text.
+RUNNING_WORDS = 6
+#: Pages, and share of a host's pages, that make a block outside the story boilerplate.
+MIN_PAGES, FRAME_SHARE = 3, 0.01
+#: Lengths of lines are told apart up to so many words.
+MAX_WORDS = 40
+#: What stands between the entries of a menu.
+SEPARATORS = r"\s*[|/·•»›–—]\s+"
 
 _TOKEN = re.compile(r"<!--.*?-->|<(script|style|noscript|template)\b[^>]*>.*?</\1\s*>|<[!?][^>]*>|<(/?)([a-zA-Z][\w:-]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>", re.S | re.I)
 _ATTR = re.compile(r"\b(class|id)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_NO_DIGITS = str.maketrans("", "", "0123456789")
 _SPACE = re.compile(r"[\s ]+")
 # Elements that run within text, that never have an end, and what an opening element closes.
 _INLINE = frozenset("a abbr b bdi cite code em font i mark q s small span strong sub sup time u var".split())
@@ -165,119 +172,153 @@ def with_story(read: DataFrame, winners: DataFrame, host: str) -> DataFrame:
 
 
 def normal(text: Column) -> Column:
-    return F.regexp_replace(F.trim(F.regexp_replace(text, "[\\s\\u00a0]+", " ")), "[0-9]+", "0")
+    """White space as single spaces, no digits."""
+    return F.trim(F.regexp_replace(F.regexp_replace(text, "[0-9]+", ""), "[\\s\\u00a0]+", " "))
 
 
-def boilerplate_texts(stories: DataFrame) -> DataFrame:
-    """(kind, text, n): what pages carry around their story, by number of pages.
+def boilerplate_texts(stories: DataFrame, host: str) -> DataFrame:
+    """(kind, text): what a host's pages carry around their story, on at least ``FRAME_SHARE`` of them.
 
     kind ``block``: whole blocks outside the story's container; ``head``: headings there; ``opening``: what stands before a
-    colon there, as in addresses; ``pointer``: the same within the container, beside the paragraphs. Texts that pages also
-    have among the paragraphs of their story are lines of the site, not of the page's frame, and are left out.
+    colon there outside links, as in addresses; ``pointer``: the same within the container, beside the paragraphs. Texts that
+    pages also have among the paragraphs of their story are lines of the site, not of the page's frame, and are left out.
     """
-    blocks = stories.where("path is not null").select("path", F.explode("blocks").alias("b"))
+    pages = stories.where("path is not null").select(F.coalesce(host, F.lit("")).alias("host"), "path", "blocks")
+    totals = pages.groupBy("host").agg(F.count(F.lit(1)).alias("n_pages"))
     container = F.regexp_replace("path", ">p[^>]*$", "")
-    x = blocks.select(
+    x = pages.select("host", "path", F.explode("blocks").alias("b")).select(
+        "host",
         normal(F.col("b.text")).alias("text"),
         (F.col("b.path") == F.col("path")).alias("in_story"),
         F.col("b.path").startswith(container).alias("within"),
         F.col("b.path").rlike("(^|>)h[2-6][^>]*$").alias("head"),
         F.col("b.path").rlike("(^|>)h1[^>]*$|^head|^title").alias("title"),
-        F.col("b.path").rlike("item").alias("item"),
+        (F.col("b.linked") >= 0.5).alias("link"),
     ).where("not title")
-    opening = F.when(F.col("text").rlike("^[^:]{3,40}: ") & ~F.col("item"), F.regexp_extract("text", "^([^:]{3,40}):", 1))
+    opening = F.when(F.col("text").rlike("^[^:]{3,40}: ") & (~F.col("link") | F.col("within")), F.regexp_extract("text", "^([^:]{3,40}):", 1))
     x = x.select(
-        "in_story",
+        "host", "in_story",
         F.explode(F.array(
             F.struct(F.when(F.col("head"), "head").otherwise("block").alias("kind"), F.when(~F.col("within") | F.col("in_story"), F.col("text")).alias("text")),
             F.struct(F.when(F.col("within"), "pointer").otherwise("opening").alias("kind"), opening.alias("text")),
         )).alias("e"),
+    ).unionByName(  # entries that a menu or foot joins in one block
+        x.where("not within and not in_story").select("host", "in_story", F.explode(F.split("text", SEPARATORS)).alias("part"), "text").where("part <> text").select("host", "in_story", F.struct(F.lit("block").alias("kind"), F.col("part").alias("text")).alias("e"))
     )
-    counted = x.where("e.text is not null").groupBy("e.kind", "e.text").agg(F.count_if(~F.col("in_story")).alias("n"), F.count_if("in_story").alias("n_in"))
+    counted = x.where("e.text <> ''").groupBy("host", "e.kind", "e.text").agg(F.count_if(~F.col("in_story")).alias("n"), F.count_if("in_story").alias("n_in"))
     # A pointer among the paragraphs is still a pointer; a line of the story's paragraphs is no frame, under any kind.
-    lines = counted.groupBy("text").agg(F.max("n_in").alias("n_story"), F.sum("n").alias("n_frame"))
-    kept = counted.where(F.col("n") >= MIN_PAGES).join(lines, "text").where(F.col("n_story") <= 0.1 * F.col("n_frame"))
-    return kept.select("kind", "text", "n")
+    lines = counted.groupBy("text").agg(F.max("n_in").alias("n_story"), F.sum("n").alias("n_frame")).where(F.col("n_story") <= 0.1 * F.col("n_frame"))
+    often = counted.where(F.col("n") >= MIN_PAGES).join(totals, "host").where(F.col("n") >= FRAME_SHARE * F.col("n_pages"))
+    return often.select("kind", "text").distinct().join(lines.select("text"), "text", "left_semi").select("kind", "text")
+
+
+def _ending(char: str) -> str:
+    return "letter" if char.isalpha() else "digit" if char.isdigit() else char
+
+
+Shapes = dict[tuple[int, str], tuple[bool, bool]]
+
+
+def story_shapes(stories: DataFrame) -> Shapes:
+    """By length in words and ending: whether more blocks stand in stories than around them, and than in side columns.
+
+    A side column is a container outside the story that has a heading. There are at most ``MAX_WORDS`` lengths and one ending
+    for every sign, of which those of at least ``MIN_PAGES`` texts count.
+    """
+    is_head = lambda b: b["path"].rlike("(^|>)h[2-6][^>]*$")
+    outside = F.filter("blocks", lambda b: is_head(b) & ~b["path"].startswith(F.regexp_replace("path", ">p[^>]*$", "")))
+    columns = F.transform(outside, lambda b: F.regexp_replace(b["path"], "(^|>)h[2-6][^>]*$", ""))
+    blocks = stories.where("path is not null").select("path", columns.alias("columns"), F.explode("blocks").alias("b")).where(~F.col("b.path").rlike("(^|>)h1[^>]*$|^head|^title"))
+    side = F.exists("columns", lambda c: F.col("b.path").startswith(c))
+    last = F.right("b.text", F.lit(1))
+    ending = F.when(last.rlike("\\p{L}"), "letter").when(last.rlike("\\p{N}"), "digit").otherwise(last)
+    words = F.least(F.size(F.split("b.text", " ")), F.lit(MAX_WORDS))
+    # A text that returns counts once, so that neither menus nor the lines of the site weigh by their repetitions.
+    once = blocks.select(words.alias("words"), ending.alias("ending"), (F.col("b.path") == F.col("path")).alias("story"), side.alias("side"), F.xxhash64(normal(F.col("b.text"))).alias("h")).distinct()
+    shapes = once.groupBy("words", "ending").agg(F.count(F.lit(1)).alias("n"), F.count_if("story").alias("n_story"), F.count_if(~F.col("story") & F.col("side")).alias("n_side")).where(F.col("n") >= MIN_PAGES)
+    return {(r.words, r.ending): (r.n_story > r.n - r.n_story - r.n_side, r.n_story > r.n_side) for r in bounded_rows(shapes, 1000 * MAX_WORDS, "shapes of lines")}
 
 
 class TextJudge:
     """Tells the story's lines of a text without markup from what pages carry around stories."""
 
-    def __init__(self, known: list[tuple[str, str]], longest: int | None = None):
-        self.blocks = {t for k, t in known if k == "block" and len(t.split()) < MAX_FRAME_WORDS}
-        self.heads = {t for k, t in known if k == "head"}
-        self.openings = {t for k, t in known if k == "opening"}
-        self.pointers = {t for k, t in known if k == "pointer"}
-        self.longest = max(map(len, self.blocks | self.heads), default=0) if longest is None else longest
-        self._mark = re.compile(r"©|^(copyright|копирайт)\b", re.I)
-        self._end = re.compile(r"[.!?…][”\"»’')\]]*$")
-        self._items = re.compile(r"\s*[|/·•»›–—]\s+|\s{2,}| | [|/·•] ")
+    def __init__(self, known: list[tuple[str, str]], shapes: Shapes):
+        of = lambda kind: {t for k, t in known if k == kind}
+        self.blocks, self.heads, self.openings, self.pointers = of("block"), of("head"), of("opening"), of("pointer")
+        self.shapes = shapes
+        self._separator = re.compile(r"[|/·•»›–—]|\s{2}|[\u00a0\u2002-\u200a]")
+        self._items = re.compile(SEPARATORS + r"|\s{2,}|[\u00a0\u2002-\u200a]")
+
+    def _key(self, text: str) -> str:
+        return _SPACE.sub(" ", text.translate(_NO_DIGITS)).strip()
 
     def _parts(self, as_is: str) -> list[str]:
-        return [re.sub(r"\d+", "0", _SPACE.sub(" ", p).strip()) for p in self._items.split(as_is.strip()) if p.strip()]
+        return [y for x in self._items.split(as_is.strip()) if (y := self._key(x))] if self._separator.search(as_is.strip()) else []
+
+    def _opening(self, key: str) -> str:
+        return key.split(":", 1)[0] if ": " in key[:42] else ""
 
     def strings(self, text: str) -> list[str]:
         """All strings that ``story`` looks up, each once."""
         found: dict[str, None] = {}
         for as_is in text.split("\n"):
-            line = _SPACE.sub(" ", as_is).strip()
-            if line and len(line) <= self.longest + 100:
-                opening = [line.split(":", 1)[0]] if ":" in line[:41] else []
-                found.update(dict.fromkeys([re.sub(r"\d+", "0", line), *self._parts(as_is), *opening]))
+            if key := self._key(as_is):
+                opening = self._opening(key)
+                found.update(dict.fromkeys([key, *self._parts(as_is), *([opening] if opening else [])]))
         return list(found)
 
+    def _shape(self, line: str) -> tuple[bool, bool]:
+        """Whether a line is like a paragraph, and like one even in a side column; of the nearest length that pages have."""
+        n, ending = min(line.count(" ") + 1, MAX_WORDS), _ending(line[-1])
+        for d in range(4):
+            for k in (n + d, n - d):
+                if (k, ending) in self.shapes:
+                    return self.shapes[k, ending]
+        return (n == MAX_WORDS,) * 2
+
     def story(self, text: str, title: str | None) -> list[str]:
         """The paragraphs if the text carries boilerplate, else nothing."""
-        raw = [x for x in text.split("\n") if x.strip(" \t\r ")]
+        raw = [x for x in text.split("\n") if x.strip()]
         lines = [_SPACE.sub(" ", x).strip() for x in raw]
         kinds = []
         for line, as_is in zip(lines, raw):
-            if len(line) > self.longest + 100:  # longer than any block that pages carry around stories: a paragraph
-                kinds.append("text" if self._end.search(line) else "short")
-                continue
-            plain = re.sub(r"\d+", "0", line)
-            parts = self._parts(as_is)
-            known = sum(p in self.blocks for p in parts)
-            opening = line.split(":", 1)[0] if ":" in line[:41] else ""
-            if plain in self.heads:
+            key = self._key(line)
+            opening = self._opening(key)
+            if key in self.heads:
                 kinds.append("head")
-            elif plain in self.blocks or self._mark.search(line) or (len(parts) > 1 and known >= 0.5 * len(parts)):
+            elif key in self.blocks:
                 kinds.append("around")
             elif opening and opening in self.pointers:
                 kinds.append("pointer")
             elif opening and opening in self.openings:
                 kinds.append("around")
-            elif self._end.search(line) and len(line.split()) >= RUNNING_WORDS:
-                kinds.append("text")
+            elif len(parts := self._parts(as_is)) > 1 and sum(p in self.blocks for p in parts) > 0.5 * len(parts):
+                kinds.append("around")
             else:
-                kinds.append("short")
+                like, even_there = self._shape(line)
+                kinds.append("story" if even_there and like else "text" if like else "short")
         if "head" not in kinds and "around" not in kinds:
             return []
-        out, side, before = [], False, ""
+        out, side = [], False
         for i, (line, kind) in enumerate(zip(lines, kinds)):
-            if kind == "head":
-                side = True
-            elif kind == "around":
-                side = False
-            elif kind == "text":
-                # In a side column a teaser follows a headline; two paragraphs of text in a row are the story again.
-                if side and before != "text" and not (i + 1 < len(kinds) and kinds[i + 1] == "text"):
-                    pass
-                else:
-                    side = False
-                    if line != (title or "").strip():
-                        out.append(line)
-            before = kind
+            if kind in ("head", "around"):
+                side = kind == "head"
+            elif kind in ("story", "text"):
+                # In a side column a teaser follows a headline; paragraphs in a row, or one like no teaser, are the story again.
+                around = kinds[max(i - 1, 0) : i] + kinds[i + 1 : i + 2]
+                side = side and kind == "text" and not {"story", "text"} & set(around)
+                if not side and line != (title or "").strip():
+                    out.append(line)
         return out
 
 
-def story_of_texts(df: DataFrame, text: str, title: str, known: list[tuple[str, str]], keep: list[str]) -> DataFrame:
+def story_of_texts(df: DataFrame, text: str, title: str, known: list[tuple[str, str]], shapes: Shapes, keep: list[str]) -> DataFrame:
     """(keep..., story): paragraphs of texts that carry boilerplate; an empty list for all others."""
     ship(df.sparkSession)
     learned = tuple(known)
 
     def judge(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        j = TextJudge(list(learned))
+        j = TextJudge(list(learned), shapes)
         for texts, titles in batches:
             yield pd.Series([j.story(t, h) if t else [] for t, h in zip(texts, titles)], dtype=object)
 
@@ -286,30 +327,25 @@ def story_of_texts(df: DataFrame, text: str, title: str, known: list[tuple[str,
     return df.select(*keep, udf(F.col(text), F.col(title)).alias("story"))
 
 
-def story_by_join(df: DataFrame, text: str, title: str, known: DataFrame, keep: list[str]) -> DataFrame:
+def story_by_join(df: DataFrame, text: str, title: str, known: DataFrame, shapes: Shapes, keep: list[str]) -> DataFrame:
     """``story_of_texts`` for a dictionary (kind, text) of any size: hashed strings of the texts meet it in a shuffle.
 
     What a text looks up depends on the text alone, so texts are told apart by digest, and only digests and hashes move.
     """
     ship(df.sparkSession)
-    framed = (F.col("kind") == "head") | ((F.col("kind") == "block") & (F.size(F.split("text", " ")) < MAX_FRAME_WORDS))
-    longest = known.agg(F.max(F.when(framed, F.length("text")))).first()[0] or 0
 
     def strings(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        j = TextJudge([], longest)
+        j = TextJudge([], shapes)
         for texts in batches:
             yield pd.Series([j.strings(t) if t else [] for t in texts], dtype=object)
 
     def judge(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        asked = TextJudge([], longest)
+        asked = TextJudge([], shapes)
         for texts, titles, kinds, places in batches:
             out = []
             for t, h, ks, ps in zip(texts, titles, kinds, places):
-                if not t or ks is None or not len(ks):
-                    out.append(asked.story(t, h) if t else [])  # marks of copyright need no dictionary
-                    continue
-                own = asked.strings(t)
-                out.append(TextJudge([(k, own[p]) for k, p in zip(ks, ps)], longest).story(t, h))
+                own = asked.strings(t) if t and ks is not None and len(ks) else []
+                out.append(TextJudge([(k, own[p]) for k, p in zip(ks, ps)], shapes).story(t, h) if own else [])
             yield pd.Series(out, dtype=object)
 
     strings.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}

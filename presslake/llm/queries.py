@@ -178,16 +178,17 @@ def _stories(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "raw_ingest").where("raw_html is not null and raw_html <> ''").select("raw_id", "source_name", "raw_html")
     read = checkpointed(boilerplate.read_pages(pages, "raw_html", ["raw_id", "source_name"]))  # read by the vote, the dictionary and the extraction
     stories = boilerplate.with_story(read, boilerplate.winning_paths(read, "source_name"), "source_name")
-    known = checkpointed(boilerplate.boilerplate_texts(stories).select("kind", "text"))  # read to be counted and to be joined
+    known = checkpointed(boilerplate.boilerplate_texts(stories, "source_name"))  # read to be counted and to be joined
     some = known.limit(MAX_BROADCAST_ROWS + 1).collect()
+    shapes = boilerplate.story_shapes(stories)
     entries = _portal_entries(spark, sf_dir)
     from_pages = canonical.with_matches(stories.select(F.lit("raw_ingest").alias("rec_kind"), F.col("raw_id").alias("rec_id"), "source_name", "story"), "source_name", entries)
     from_pages = from_pages.select("rec_kind", "rec_id", F.try_element_at("matches", F.lit(1))["ref_id"].alias("portal_id"), F.explode("story").alias("line"))
     texts = _articles_with_portal(spark, sf_dir, ["title"])
     if len(some) <= MAX_BROADCAST_ROWS:
-        from_texts = boilerplate.story_of_texts(texts, "content_text", "title", [(r.kind, r.text) for r in some], ["id", "portal_id"])
+        from_texts = boilerplate.story_of_texts(texts, "content_text", "title", [(r.kind, r.text) for r in some], shapes, ["id", "portal_id"])
     else:
-        from_texts = boilerplate.story_by_join(texts, "content_text", "title", known, ["id", "portal_id"])
+        from_texts = boilerplate.story_by_join(texts, "content_text", "title", known, shapes, ["id", "portal_id"])
     from_texts = from_texts.select(F.lit("articles").alias("rec_kind"), F.col("id").alias("rec_id"), "portal_id", F.explode("story").alias("line"))
     return from_pages.unionByName(from_texts)
 

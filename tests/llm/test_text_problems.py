@@ -173,12 +173,26 @@ def test_boilerplate(spark):
     stories = boilerplate.with_story(read, won, "host")
     got = {r.i: r.story for r in stories.collect()}
     assert got[3] == [STORY.format("aaa"), STORY.format("bbb")] and not got[50] and not got[51] and not got[52] and not got[54]
-    known = [(r.kind, r.text) for r in boilerplate.boilerplate_texts(stories).collect()]
+    known = [(r.kind, r.text) for r in boilerplate.boilerplate_texts(stories, "host").collect()]
+    shapes = boilerplate.story_shapes(stories)
     assert ("head", "Digər xəbərlər") in known and ("block", "Siyasət") in known and ("pointer", "Həmçinin oxuyun") in known
     text = "\n".join(["Siyasət | Siyasət", STORY.format("c"), "Həmçinin oxuyun: Nə isə", STORY.format("d"), "Digər xəbərlər", "12:10 Qısa başlıq", "© 2021 Sayt"])
     df = spark.createDataFrame([(1, text, "B"), (2, STORY.format("e"), "B"), (3, None, None), (4, "", "")], "i int, t string, h string")
-    assert {r.i: r.story for r in boilerplate.story_of_texts(df, "t", "h", known, ["i"]).collect()} == {1: [STORY.format("c"), STORY.format("d")], 2: [], 3: [], 4: []}
+    assert {r.i: r.story for r in boilerplate.story_of_texts(df, "t", "h", known, shapes, ["i"]).collect()} == {1: [STORY.format("c"), STORY.format("d")], 2: [], 3: [], 4: []}
     assert boilerplate.winning_paths(read.limit(0), "host").count() == 0
+    assert boilerplate.story_shapes(stories.limit(0)) == {} and boilerplate.boilerplate_texts(stories.limit(0), "host").count() == 0
+
+
+def test_long_frame_lines_are_judged_like_short_ones(spark):
+    notice = "Bu sayt öz ziyarətçilərinə daha yaxşı xidmət göstərmək üçün " + "kuki fayllarından və bənzər vasitələrdən istifadə edir " * 8 + "və siz bununla razılaşırsınız."
+    foot = "© 2020 Sayt, " + "bütün hüquqlar qanunla qorunur " * 20
+    around = f"<div class=c><p>{notice}</p></div>" + PAGE.replace("© 2020 Sayt", foot)
+    pages = [(i, "h", around.format(i, STORY.format("a" * i) + " " + STORY.format("x " * 90), STORY.format("b" * i))) for i in range(1, 9)]
+    read = boilerplate.read_pages(spark.createDataFrame(pages, "i int, host string, html string"), "html", ["i", "host"])
+    stories = boilerplate.with_story(read, boilerplate.winning_paths(read, "host"), "host")
+    judge = boilerplate.TextJudge([(r.kind, r.text) for r in boilerplate.boilerplate_texts(stories, "host").collect()], boilerplate.story_shapes(stories))
+    for line in (notice, foot.replace("2020", "1999")):
+        assert judge.story("\n".join([STORY.format("c"), STORY.format("d"), line]), "B") == [STORY.format("c"), STORY.format("d")]
 
 
 def test_a_dictionary_of_any_size(spark, monkeypatch):
