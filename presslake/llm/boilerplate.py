@@ -46,7 +46,7 @@ SEPARATORS = r"\s*[|/·•»›–—]\s+"
 
 _TOKEN = re.compile(r"<!--.*?-->|<(script|style|noscript|template)\b[^>]*>.*?</\1\s*>|<[!?][^>]*>|<(/?)([a-zA-Z][\w:-]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>", re.S | re.I)
 _ATTR = re.compile(r"\b(class|id)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_NO_DIGITS = str.maketrans("", "", "0123456789")
+_DIGITS = re.compile("[0-9]+")
 _SPACE = re.compile(r"[\s ]+")
 # Elements that run within text, that never have an end, and what an opening element closes.
 _INLINE = frozenset("a abbr b bdi cite code em font i mark q s small span strong sub sup time u var".split())
@@ -246,14 +246,19 @@ class TextJudge:
         of = lambda kind: {t for k, t in known if k == kind}
         self.blocks, self.heads, self.openings, self.pointers = of("block"), of("head"), of("opening"), of("pointer")
         self.shapes = shapes
-        self._separator = re.compile(r"[|/·•»›–—]|\s{2}|[\u00a0\u2002-\u200a]")
+        self._separator = re.compile(r"[|/·•»›–—\u00a0\u2002-\u200a]")
         self._items = re.compile(SEPARATORS + r"|\s{2,}|[\u00a0\u2002-\u200a]")
 
-    def _key(self, text: str) -> str:
-        return _SPACE.sub(" ", text.translate(_NO_DIGITS)).strip()
+    def _key(self, line: str) -> str:
+        """The text of ``normal`` of a line whose white space is in order."""
+        key = _DIGITS.sub("", line)
+        return key if len(key) == len(line) else " ".join(key.split())
 
-    def _parts(self, as_is: str) -> list[str]:
-        return [y for x in self._items.split(as_is.strip()) if (y := self._key(x))] if self._separator.search(as_is.strip()) else []
+    def _parts(self, line: str, as_is: str) -> list[str]:
+        as_is = as_is.strip()
+        if len(line) == len(as_is) and not self._separator.search(as_is):  # no run of white space, no sign between entries
+            return []
+        return [y for x in self._items.split(as_is) if (y := self._key(" ".join(x.split())))]
 
     def _opening(self, key: str) -> str:
         return key.split(":", 1)[0] if ": " in key[:42] else ""
@@ -262,9 +267,10 @@ class TextJudge:
         """All strings that ``story`` looks up, each once."""
         found: dict[str, None] = {}
         for as_is in text.split("\n"):
-            if key := self._key(as_is):
+            line = " ".join(as_is.split())
+            if key := self._key(line):
                 opening = self._opening(key)
-                found.update(dict.fromkeys([key, *self._parts(as_is), *([opening] if opening else [])]))
+                found.update(dict.fromkeys([key, *self._parts(line, as_is), *([opening] if opening else [])]))
         return list(found)
 
     def _shape(self, line: str) -> tuple[bool, bool]:
@@ -279,7 +285,7 @@ class TextJudge:
     def story(self, text: str, title: str | None) -> list[str]:
         """The paragraphs if the text carries boilerplate, else nothing."""
         raw = [x for x in text.split("\n") if x.strip()]
-        lines = [_SPACE.sub(" ", x).strip() for x in raw]
+        lines = [" ".join(x.split()) for x in raw]
         kinds = []
         for line, as_is in zip(lines, raw):
             key = self._key(line)
@@ -292,7 +298,7 @@ class TextJudge:
                 kinds.append("pointer")
             elif opening and opening in self.openings:
                 kinds.append("around")
-            elif len(parts := self._parts(as_is)) > 1 and sum(p in self.blocks for p in parts) > 0.5 * len(parts):
+            elif len(parts := self._parts(line, as_is)) > 1 and sum(p in self.blocks for p in parts) > 0.5 * len(parts):
                 kinds.append("around")
             else:
                 like, even_there = self._shape(line)
