@@ -1,17 +1,21 @@
 """Language of documents and of their stretches, by cross-parsing with suffix automata.
 
-A suffix automaton per model (a language in one script) holds the words of a labelled sample. A word is parsed into the
-fewest longest matches with the automaton; a line's score in a model is the number of such phrases of its words, normalised
-by its letters. The model that needs the fewest wins. Workers remember the phrase counts of words, so that the cost of a
-text is one lookup per word.
+A suffix automaton per model (a language in one script) holds running text of a labelled sample. A line is parsed from left to
+right, across its words, into the fewest longest matches with the automaton; its score in a model is the number of these
+phrases, normalised by its letters. The model that needs the fewest wins. The automata are tables of transitions, and all lines
+of a batch are parsed abreast, one letter a step.
 
-Lines are joined into stretches: a line without words to judge (links, tags, numbers, bare names), and a short line that its
-neighbour's language explains about as well, belongs to the stretch before it.
+Lines are joined into stretches: of all ways to give the lines of a text languages, the one that needs the fewest phrases is
+taken, where each change of language counts as ``CHANGE`` phrases. Lines without words to judge (links, tags, numbers), and
+those that no model reads (codes), belong to the stretch around them. The confidence of a stretch is 1 less the phrases that
+it needs over those of the second best language.
 
 Defined results
     null, empty or blank text ............... no stretches
     under ``MIN_WORDS`` words ............... stretches are given, but the record is too short to judge its label
-    only links, tags, names ................. no stretches
+    only links, tags, numbers ............... no stretches
+    names ................................... parsed like other words; no model has their parts, so they decide nothing
+    very long lines ......................... parsed whole, in pieces of ``PIECE`` letters
     no labelled text ........................ no stretches for any record
     ties .................................... the first model in order of name
     repeated keys ........................... judged one by one
@@ -20,6 +24,7 @@ Defined results
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -29,21 +34,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from presslake.llm.encoding import candidates, utf8_readings
-from presslake.session import bounded_rows, ship
+from presslake.session import bounded_rows, checkpointed, ship
 
 LANGS = ("az", "ru", "en", "tr")
 MIN_WORDS = 5
-#: Bound of the labelled sample: texts per model.
-SAMPLE_TEXTS = 200
-#: A line of fewer words than this, or whose best model leads by less, follows its neighbour if that explains it nearly as well.
-SHORT_WORDS, SMALL_LEAD = 3, 0.08
-WORKER_WORDS = 400_000
+#: Bound of the labelled sample: texts per model, and letters of running text in an automaton.
+SAMPLE_TEXTS, MODEL_LETTERS = 200, 40_000
+#: Phrases that a change of language counts, and phrases a letter above which a line is in no language that a model has.
+CHANGE, NO_LANGUAGE = 5.0, 0.55
+#: Lines are parsed in pieces of so many letters, and so many pieces abreast.
+PIECE, ABREAST = 512, 8192
+#: Phrases a letter above which a line is tried in other decodings, and by how many a reading must be better.
+UNREADABLE, WORTH_IT = 0.3, 0.1
 
 # Codes of the languages.
 CODES = {"az": "az", "aze": "az", "azb": "az", "azj": "az", "ru": "ru", "rus": "ru", "en": "en", "eng": "en", "tr": "tr", "tur": "tr"}
 
 _WORD = re.compile(r"[^\W\d_]+(?:[’'-][^\W\d_]+)*")
-_NOISE = re.compile(r"https?://\S+|www\.\S+|\S+@\S+|[#@]\w+|\b\w+\.(?:example|com|az|ru|net|org)\b")
+_NOISE = re.compile(r"\w+://\S+|www\.\S+|\S+@\S+|[#@]\w+|\b[\w-]+(?:\.[\w-]+)*\.[a-z]{2,}\b")
+_MAY_BE_NOISE = re.compile(r"[#@.]|://")
 _CYRILLIC = re.compile("[Ѐ-ӿ]")
 
 
@@ -90,79 +99,117 @@ class SuffixAutomaton:
         return count
 
 
-def fold(word: str) -> str:
-    return word.replace("İ", "i").replace("I", "ı" if any(c in "əışğ" for c in word) else "i").lower()
+def fold(line: str) -> str:
+    """Lower case; the capital I is dotless where the line has letters that only the Turkic alphabets have."""
+    return line.replace("İ", "i").replace("I", "ı" if any(c in "əışğƏIŞĞ" for c in line) and any(c in "əışğƏŞĞ" for c in line) else "i").lower()
 
 
 class Scorer:
-    """Phrase counts of words under every model, with a bounded memory of words."""
+    """Phrase counts of lines under every model."""
 
     def __init__(self, models: tuple[tuple[str, str], ...]):
         self.names = [m for m, _ in models]
         self.langs = [m.split("_")[0] for m in self.names]
-        self.automata = [SuffixAutomaton(t) for _, t in models]
-        self.seen: dict[str, int] = {}
-        self.counts = np.zeros((1024, len(models)), np.float32)
-
-    def rows(self, words: list[str]) -> np.ndarray:
-        """Phrase counts, one row per word."""
-        if len(self.seen) > WORKER_WORDS:
-            self.seen.clear()
-        ids = []
-        for w in words:
-            i = self.seen.get(w)
-            if i is None:
-                i = self.seen[w] = len(self.seen)
-                if i >= len(self.counts):
-                    self.counts = np.concatenate([self.counts, np.zeros_like(self.counts)])
-                x = f" {fold(w)} "
-                # A model that reads the word in one piece costs nothing; what remains is what it doesn't know.
-                self.counts[i] = [a.phrases(x) - 1 for a in self.automata]
-            ids.append(i)
-        return self.counts[ids]
-
-    def line(self, line: str) -> tuple[int, np.ndarray] | None:
-        """(words judged, score by model) of one line; None if it has nothing to judge."""
-        clean = _NOISE.sub(" ", line) if ("#" in line or "@" in line or "." in line) else line
-        words = _WORD.findall(clean)
-        plain = [w for w in words if w[0].islower()]
-        if not plain:
-            return None
-        letters = sum(map(len, plain))
-        return len(plain), self.rows(plain).sum(0) / letters
-
-    def stretches(self, text: str) -> tuple[int, list[tuple[str, float]]]:
-        """(words of the text, [(language, confidence)]) with one entry per stretch."""
-        runs: list[list] = []  # language, words, weighted confidence
-        total = 0
-        for raw in text.split("\n"):
-            if not raw.strip():
+        letters = sorted(set("".join(t for _, t in models)))
+        self.code = np.zeros(0x3000, np.uint8)  # 0: a letter that no model has
+        self.code[[ord(c) for c in letters if ord(c) < 0x3000][:254]] = np.arange(1, 1 + min(len(letters), 254))
+        self.width = int(self.code.max()) + 1
+        self.tables = []
+        for _, t in models:
+            automaton = SuffixAutomaton(t)
+            table = np.zeros((len(automaton.next), self.width), np.int32)
+            state = np.repeat(np.arange(len(automaton.next)), [len(n) for n in automaton.next])
+            sign = self.code[[min(ord(c), 0x2FFF) for n in automaton.next for c in n]]
+            table[state, sign] = [x for n in automaton.next for x in n.values()]
+            table[:, 0] = 0
+            self.tables.append(table.ravel())
+
+    def phrases(self, pieces: list[np.ndarray]) -> np.ndarray:
+        """Phrases that each piece (codes of its letters) needs under each model, one row a piece."""
+        out = np.zeros((len(pieces), len(self.tables)), np.int32)
+        order = np.argsort([-len(p) for p in pieces], kind="stable")
+        for at in range(0, len(order), ABREAST):
+            some = order[at : at + ABREAST]
+            sizes = np.array([len(pieces[i]) for i in some])
+            steps = np.zeros((int(sizes[0]), len(some)), np.uint8)  # a row for each place, longest pieces first
+            for k, i in enumerate(some):
+                steps[: sizes[k], k] = pieces[i]
+            active = np.searchsorted(-sizes, -np.arange(len(steps)), side="left")  # pieces longer than the place
+            for m, table in enumerate(self.tables):
+                state, count, root = np.zeros(len(some), np.int32), np.zeros(len(some), np.int32), table[: self.width]
+                for sign, n in zip(steps, active):
+                    s, c = state[:n], sign[:n]
+                    following = table[s * self.width + c]
+                    missed = following == 0
+                    # A match ends where it has no next letter, which begins the next match; an unknown one is a phrase of its own.
+                    again = root[c]
+                    count[:n] += missed & (s != 0)
+                    count[:n] += missed & (again == 0)
+                    state[:n] = np.where(missed, again, following)
+                out[some, m] = count + (state != 0)
+        return out
+
+    def lines(self, lines: list[str]) -> list[tuple[int, np.ndarray] | None]:
+        """(letters, phrases by model) of each line; None if it has nothing to judge."""
+        out: list[tuple[int, np.ndarray] | None] = [None] * len(lines)
+        pieces, owner, letters = [], [], np.zeros(len(lines), int)
+        for i, line in enumerate(lines):
+            found = _WORD.findall(_NOISE.sub(" ", line) if _MAY_BE_NOISE.search(line) else line)
+            if not found:
                 continue
-            total += len(raw.split())
-            judged = self.line(raw)
-            if judged is None:
-                continue
-            n, score = judged
-            if score.min() > 0.05 and not raw.isascii() and utf8_readings(raw):
-                # Wrongly decoded text: of its readings, the one that needs the fewest phrases.
-                for _, other in candidates(raw, False)[1:]:
-                    if (again := self.line(other)) is not None and again[1].min() < score.min():
-                        n, score = again
-            best = {}
-            for lang, s in zip(self.langs, score):
-                best[lang] = min(best.get(lang, np.inf), float(s))
-            ranked = sorted(best, key=best.get)
-            lang, first = ranked[0], best[ranked[0]]
-            second = best[ranked[1]] if len(ranked) > 1 else first + 1
-            if runs and runs[-1][0] != lang and (n < SHORT_WORDS or second - first < SMALL_LEAD) and best[runs[-1][0]] - first < 2 * SMALL_LEAD:
-                lang, first = runs[-1][0], best[runs[-1][0]]
-            confidence = 1 - first / max(second, first, 1e-6) if second > first else 0.5
-            if runs and runs[-1][0] == lang:
-                runs[-1][1] += n
-                runs[-1][2] += n * confidence
-            else:
-                runs.append([lang, n, n * confidence])
-        return total, [(x, round(c / n, 4)) for x, n, c in runs]
+            letters[i] = sum(map(len, found))
+            text = np.frombuffer(fold(f" {' '.join(found)} ").encode("utf-32-le"), np.uint32)
+            codes = self.code[np.minimum(text, 0x2FFF)]
+            for at in range(0, len(codes), PIECE):
+                pieces.append(codes[at : at + PIECE])
+                owner.append(i)
+        if pieces:
+            total = np.zeros((len(lines), len(self.tables)), np.int64)
+            np.add.at(total, owner, self.phrases(pieces))
+            for i in np.flatnonzero(letters):
+                out[i] = int(letters[i]), total[i]
+        return out
+
+    def judged(self, lines: list[str]) -> list[tuple[int, np.ndarray] | None]:
+        """``lines``, where wrongly decoded text is taken in the reading that needs the fewest phrases."""
+        out = self.lines(lines)
+        score = lambda x: x[1].min() / x[0]
+        again = [(i, t) for i, line in enumerate(lines) if not line.isascii() and (out[i] is None or score(out[i]) > UNREADABLE) for t in dict.fromkeys(t for _, t in candidates(line)[1:])]
+        for (i, _), other in zip(again, self.lines([t for _, t in again])):
+            if other is not None and (out[i] is None or score(other) < score(out[i]) - WORTH_IT):
+                out[i] = other
+        return out
+
+    def stretches(self, texts: list[str]) -> list[tuple[int, list[tuple[str, float]]]]:
+        """(words, [(language, confidence)]) of each text, with one entry per stretch."""
+        split = [[x for x in (t or "").split("\n") if x.strip()] for t in texts]
+        distinct = list(dict.fromkeys(x for lines in split for x in lines))
+        of = dict(zip(distinct, self.judged(distinct)))
+        return [(sum(len(x.split()) for x in lines), self._runs([of[x] for x in lines])) for lines in split]
+
+    def _runs(self, judged: list[tuple[int, np.ndarray] | None]) -> list[tuple[str, float]]:
+        """The languages of the lines that need the fewest phrases altogether, where a change of language counts ``CHANGE``."""
+        read = [x for x in judged if x is not None and x[1].min() <= NO_LANGUAGE * x[0]]
+        if not read:
+            return []
+        langs = sorted(set(self.langs))
+        need = np.array([[min(p for p, of in zip(phrases, self.langs) if of == lang) for lang in langs] for _, phrases in read], float)
+        cost, back = need[0], []
+        for row in need[1:]:
+            stay = cost <= cost.min() + CHANGE
+            back.append(np.where(stay, np.arange(len(langs)), cost.argmin()))
+            cost = np.minimum(cost, cost.min() + CHANGE) + row
+        path = [int(cost.argmin())]
+        for step in reversed(back):
+            path.append(int(step[path[-1]]))
+        path = np.array(path[::-1])
+        starts = np.flatnonzero(np.r_[True, path[1:] != path[:-1]])
+        total = np.add.reduceat(need, starts, axis=0)
+        out = []
+        for k, row in zip(path[starts], total):
+            other = np.delete(row, k).min(initial=np.inf)
+            out.append((langs[k], round(float(1 - row[k] / other), 4) if 0 < other < np.inf and row[k] < other else 1.0 if other == np.inf else 0.0))
+        return out
 
 
 @lru_cache(maxsize=4)
@@ -176,24 +223,19 @@ def language_of_label(label: Column) -> Column:
     return F.create_map(*[F.lit(x) for kv in CODES.items() for x in kv])[code]
 
 
-def _model_text(words: set[str]) -> str:
-    return " " + " ".join(sorted(words)) + " "
-
-
 def train_models(labelled: DataFrame, key: str, lang: str, text: str) -> tuple[tuple[str, str], ...]:
-    """Models from at most ``SAMPLE_TEXTS`` texts per language and script, chosen by hash of ``key``.
+    """Models (name, running text) from at most ``SAMPLE_TEXTS`` texts per language and script, chosen by hash of ``key``.
 
-    Only keys and labels are ranked. Lines that the other models explain better than their label's are then left out, so
-    that wrong labels and foreign passages do not teach a language the words of another.
+    Keys and labels are gathered in one scan, the texts of the chosen in another. Lines that the other models explain better
+    than their label's are then left out, so that wrong labels and foreign passages do not teach a language the words of another.
     """
     rows: dict[str, list[str]] = {}
+    model = F.concat(lang, F.when((F.col(lang) == "az") & F.col(text).rlike("[әҹҝғһө]"), "_cyrl").otherwise("_main"))
+    tagged = checkpointed(labelled.where(F.col(lang).isin(*LANGS)).select(key, model.alias("model"), F.xxhash64(key).alias("h")))
     ranked = None
-    script = F.when(F.col(text).rlike("[әҹҝғһө]"), "cyrl").otherwise("main")
-    tagged = labelled.select(key, F.col(lang).alias("l"), script.alias("s"))
-    for code in LANGS:
-        for s in ("main", "cyrl") if code == "az" else ("main",):
-            part = tagged.where((F.col("l") == code) & ((F.col("s") == s) | (code != "az"))).select(key, F.lit(f"{code}_{s}").alias("model")).orderBy(F.xxhash64(key), key).limit(SAMPLE_TEXTS)
-            ranked = part if ranked is None else ranked.unionByName(part)
+    for name in ("az_main", "az_cyrl", "ru_main", "en_main", "tr_main"):
+        part = tagged.where(F.col("model") == name).orderBy("h", key).limit(SAMPLE_TEXTS)
+        ranked = part if ranked is None else ranked.unionByName(part)
     chosen = {r[key]: r.model for r in bounded_rows(ranked, SAMPLE_TEXTS * (len(LANGS) + 1), "sample keys")}
     if not chosen:
         return ()
@@ -202,25 +244,26 @@ def train_models(labelled: DataFrame, key: str, lang: str, text: str) -> tuple[t
     # An outlier of script is foreign to its language, whatever its label.
     for m in rows:
         wants = m in ("ru_main", "az_cyrl")
-        rows[m] = sorted(x for x in rows[m] if bool(_CYRILLIC.search(x)) == wants)
-    lower = lambda line: {fold(w) for w in _WORD.findall(_NOISE.sub(" ", line)) if w[0].islower()}
+        rows[m] = sorted({x for x in rows[m] if bool(_CYRILLIC.search(x)) == wants}, key=lambda x: (zlib.crc32(x.encode()), x))
+    words = lambda line: {fold(w) for w in _WORD.findall(_NOISE.sub(" ", line)) if w[0].islower()}
     # Words by the number of lines that have them: a foreign line's words are rare under a wrong label.
     share: dict[str, dict[str, float]] = {}
     for m, lines in rows.items():
         counts: dict[str, int] = {}
         for x in lines:
-            for w in lower(x):
+            for w in words(x):
                 counts[w] = counts.get(w, 0) + 1
         share[m] = {w: c / max(len(lines), 1) for w, c in counts.items()}
     models = []
     for m, lines in sorted(rows.items()):
-        words: set[str] = set()
+        running, size = [], 0
         for x in lines:
-            own = lower(x)
-            if own and sum(share[m][w] for w in own) >= max((sum(share[o].get(w, 0.0) for w in own) for o in share if o != m), default=0.0):
-                words |= own
-        if words:
-            models.append((m, _model_text(words)))
+            own = words(x)
+            if size < MODEL_LETTERS and own and sum(share[m][w] for w in own) >= max((sum(share[o].get(w, 0.0) for w in own) for o in share if o != m), default=0.0):
+                running.append(fold(" ".join(_WORD.findall(_NOISE.sub(" ", x)))))
+                size += len(running[-1])
+        if running:
+            models.append((m, " " + " \n ".join(running)[:MODEL_LETTERS] + " "))
     return tuple(models)
 
 
@@ -231,7 +274,7 @@ def label_stretches(df: DataFrame, text: str, models: tuple[tuple[str, str], ...
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorer = scorer_of(models)
         for values in batches:
-            done = [scorer.stretches(v) if v and models else (0, []) for v in values]
+            done = scorer.stretches(list(values)) if models else [(0, [])] * len(values)
             yield pd.DataFrame({"n_words": [n for n, _ in done], "stretches": [[{"lang": a, "confidence": c} for a, c in s] for _, s in done]})
 
     judge.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}

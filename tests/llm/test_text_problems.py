@@ -160,6 +160,23 @@ def test_languages(spark):
     assert [r[0] for r in labels.select(language.language_of_label(F.col("l"))).collect()] == ["az", "ru", None, None, None, "tr", None]
 
 
+def test_tables_count_what_the_automaton_counts(spark):
+    rows = [(i, lang, t) for i, (lang, t) in enumerate([("tr", TR), ("ru", RU), ("az", AZ), ("en", EN)] * 3)]
+    models = language.train_models(spark.createDataFrame(rows, "id int, l string, t string"), "id", "l", "t")
+    scorer = language.Scorer(models)
+    automata = [language.SuffixAutomaton(t) for _, t in models]
+    lines = ["Görüşdə yeni 3 proje,", EN, RU.upper(), "日本語 mətn", "x", "q" * 30, AZ + " " + TR, "#tag https://a.example 12"]
+    got = scorer.lines(lines)
+    assert got[-1] is None
+    for line, (letters, phrases) in zip(lines, got[:-1]):
+        words = language._WORD.findall(line)
+        assert letters == sum(map(len, words))
+        assert list(phrases) == [a.phrases(language.fold(f" {' '.join(words)} ")) for a in automata]
+    assert scorer.stretches([RU.upper(), None, "", "http://localhost/x", "GCQ/172 RWQ/881 XYZ/100", "W" * 5000])[0][1][0][0] == "ru"
+    assert [len(s) for _, s in scorer.stretches([RU.upper(), None, "", "http://localhost/x", "GCQ/172 RWQ/881 XYZ/100", "W" * 5000])] == [1, 0, 0, 0, 0, 0]
+    assert [x for x, _ in scorer.stretches([f"{EN}\nFoto\n{EN}\n{garble(RU, 'cp1252')}"])[0][1]] == ["en", "ru"]
+
+
 STORY = "Uzun bir cümlə burada yazılıb və oxucu üçün maraqlı olan bir xəbərdir {}."
 PAGE = '<html><head><title>T</title></head><body><ul><li><a href=/>Siyasət</a></li></ul><div class="b{0} w"><h1>Başlıq</h1><p>{1}<p>{2}<aside>Həmçinin oxuyun: <a>X {0}</a></aside></div><div class=r><h3>Digər xəbərlər</h3><div class=item><a>Y {0}</a></div></div><div class=f><p>© 2020 Sayt</p></div></body></html>'
 
