@@ -52,7 +52,8 @@ CODES = {"az": "az", "aze": "az", "azb": "az", "azj": "az", "ru": "ru", "rus": "
 
 _WORD = re.compile(r"[^\W\d_]+(?:[’'-][^\W\d_]+)*")
 _NOISE = re.compile(r"\w+://\S+|www\.\S+|\S+@\S+|[#@]\w+|\b[\w-]+(?:\.[\w-]+)*\.[a-z]{2,}\b")
-_MAY_BE_NOISE = re.compile(r"[#@.]|://")
+_MAY_BE_NOISE = re.compile(r"[#@]|://|www\.|\.[A-Za-z]")
+_TURKIC = re.compile("[əışğƏŞĞ]")
 _CYRILLIC = re.compile("[Ѐ-ӿ]")
 
 
@@ -101,7 +102,10 @@ class SuffixAutomaton:
 
 def fold(line: str) -> str:
     """Lower case; the capital I is dotless where the line has letters that only the Turkic alphabets have."""
-    return line.replace("İ", "i").replace("I", "ı" if any(c in "əışğƏIŞĞ" for c in line) and any(c in "əışğƏŞĞ" for c in line) else "i").lower()
+    line = line.replace("İ", "i")
+    if "I" in line:
+        line = line.replace("I", "ı" if _TURKIC.search(line) else "i")
+    return line.lower()
 
 
 class Scorer:
@@ -110,6 +114,7 @@ class Scorer:
     def __init__(self, models: tuple[tuple[str, str], ...]):
         self.names = [m for m, _ in models]
         self.langs = [m.split("_")[0] for m in self.names]
+        self.nothing = np.zeros(len(models))
         letters = sorted(set("".join(t for _, t in models)))
         self.code = np.zeros(0x3000, np.uint8)  # 0: a letter that no model has
         self.code[[ord(c) for c in letters if ord(c) < 0x3000][:254]] = np.arange(1, 1 + min(len(letters), 254))
@@ -183,32 +188,42 @@ class Scorer:
     def stretches(self, texts: list[str]) -> list[tuple[int, list[tuple[str, float]]]]:
         """(words, [(language, confidence)]) of each text, with one entry per stretch."""
         split = [[x for x in (t or "").split("\n") if x.strip()] for t in texts]
-        distinct = list(dict.fromkeys(x for lines in split for x in lines))
-        of = dict(zip(distinct, self.judged(distinct)))
-        return [(sum(len(x.split()) for x in lines), self._runs([of[x] for x in lines])) for lines in split]
+        place: dict[str, int] = {}
+        for lines in split:
+            for x in lines:
+                place.setdefault(x, len(place))
+        judged = self.judged(list(place))
+        langs = sorted(set(self.langs))
+        phrases = np.array([j[1] if j else self.nothing for j in judged], float).reshape(len(judged), len(self.langs))
+        need = np.stack([phrases[:, [i for i, x in enumerate(self.langs) if x == lang]].min(1) for lang in langs], axis=1)
+        letters = np.array([j[0] if j else 0 for j in judged], float)
+        readable = (letters > 0) & (need.min(1, initial=np.inf) <= NO_LANGUAGE * letters)
+        out = []
+        for lines in split:
+            rows = np.array([place[x] for x in lines], int)
+            rows = rows[readable[rows]]
+            out.append((sum(len(x.split()) for x in lines), self._runs(need[rows], langs) if len(rows) else []))
+        return out
 
-    def _runs(self, judged: list[tuple[int, np.ndarray] | None]) -> list[tuple[str, float]]:
+    @staticmethod
+    def _runs(need: np.ndarray, langs: list[str]) -> list[tuple[str, float]]:
         """The languages of the lines that need the fewest phrases altogether, where a change of language counts ``CHANGE``."""
-        read = [x for x in judged if x is not None and x[1].min() <= NO_LANGUAGE * x[0]]
-        if not read:
-            return []
-        langs = sorted(set(self.langs))
-        need = np.array([[min(p for p, of in zip(phrases, self.langs) if of == lang) for lang in langs] for _, phrases in read], float)
-        cost, back = need[0], []
-        for row in need[1:]:
-            stay = cost <= cost.min() + CHANGE
-            back.append(np.where(stay, np.arange(len(langs)), cost.argmin()))
-            cost = np.minimum(cost, cost.min() + CHANGE) + row
-        path = [int(cost.argmin())]
-        for step in reversed(back):
-            path.append(int(step[path[-1]]))
-        path = np.array(path[::-1])
+        path = need.argmin(1)
+        if (path != path[0]).any():
+            cost, back = need[0], []
+            for row in need[1:]:
+                least = cost.min() + CHANGE
+                back.append(np.where(cost <= least, np.arange(len(langs)), cost.argmin()))
+                cost = np.minimum(cost, least) + row
+            path = [int(cost.argmin())]
+            for step in reversed(back):
+                path.append(int(step[path[-1]]))
+            path = np.array(path[::-1])
         starts = np.flatnonzero(np.r_[True, path[1:] != path[:-1]])
-        total = np.add.reduceat(need, starts, axis=0)
         out = []
-        for k, row in zip(path[starts], total):
+        for k, row in zip(path[starts], np.add.reduceat(need, starts, axis=0)):
             other = np.delete(row, k).min(initial=np.inf)
-            out.append((langs[k], round(float(1 - row[k] / other), 4) if 0 < other < np.inf and row[k] < other else 1.0 if other == np.inf else 0.0))
+            out.append((langs[k], 1.0 if other == np.inf else round(float(max(0.0, 1 - row[k] / other)), 4) if other else 0.0))
         return out
 
 
@@ -223,15 +238,17 @@ def language_of_label(label: Column) -> Column:
     return F.create_map(*[F.lit(x) for kv in CODES.items() for x in kv])[code]
 
 
-def train_models(labelled: DataFrame, key: str, lang: str, text: str) -> tuple[tuple[str, str], ...]:
+def train_models(labelled: DataFrame, key: str, lang: str, text: str, labels: DataFrame | None = None) -> tuple[tuple[str, str], ...]:
     """Models (name, running text) from at most ``SAMPLE_TEXTS`` texts per language and script, chosen by hash of ``key``.
 
-    Keys and labels are gathered in one scan, the texts of the chosen in another. Lines that the other models explain better
+    The labels stand beside the texts, or in a table of their own (``key``, ``lang``), which no text is moved to meet. Keys and labels are gathered in one scan, the texts of the chosen in another. Lines that the other models explain better
     than their label's are then left out, so that wrong labels and foreign passages do not teach a language the words of another.
     """
     rows: dict[str, list[str]] = {}
-    model = F.concat(lang, F.when((F.col(lang) == "az") & F.col(text).rlike("[әҹҝғһө]"), "_cyrl").otherwise("_main"))
-    tagged = checkpointed(labelled.where(F.col(lang).isin(*LANGS)).select(key, model.alias("model"), F.xxhash64(key).alias("h")))
+    script = F.col(text).rlike("[әҹҝғһө]").alias("cyrl")
+    tagged = labelled.select(key, lang, script) if labels is None else labelled.select(key, script).join(labels.select(key, lang), key)
+    model = F.concat(lang, F.when((F.col(lang) == "az") & F.col("cyrl"), "_cyrl").otherwise("_main"))
+    tagged = checkpointed(tagged.where(F.col(lang).isin(*LANGS)).select(key, model.alias("model"), F.xxhash64(key).alias("h")))
     ranked = None
     for name in ("az_main", "az_cyrl", "ru_main", "en_main", "tr_main"):
         part = tagged.where(F.col("model") == name).orderBy("h", key).limit(SAMPLE_TEXTS)

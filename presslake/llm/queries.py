@@ -131,9 +131,9 @@ def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = a_langs.unionByName(n_langs).groupBy("rec_kind", "rec_id").agg(F.max("label").alias("label"))
     # Taught by articles whose declared language is also that of their portal.
     portals = table(spark, sf_dir, "portals").select("source_name", "main_lang")
-    agreed = articles.select("id", "source_name", "content_text").join(F.broadcast(portals), "source_name")
+    agreed = articles.select("id", "source_name").join(F.broadcast(portals), "source_name")
     agreed = agreed.join(a_langs.select(F.col("rec_id").cast("bigint").alias("id"), "label"), "id").where(F.col("label") == F.col("main_lang"))
-    models = language.train_models(agreed, "id", "label", "content_text")
+    models = language.train_models(articles, "id", "label", "content_text", agreed.select("id", "label"))
     texts = articles.select(F.lit("articles").alias("rec_kind"), F.col("id").cast("string").alias("rec_id"), F.col("content_text").alias("text")).unionByName(
         news.select(F.lit("news").alias("rec_kind"), F.col("id").alias("rec_id"), F.col("body_text").alias("text"))
     )
