@@ -2,15 +2,16 @@
 
 The automaton accepts all strings within a distance of the typed value, where an insertion, deletion, replacement or swap
 of neighbours counts 1. It is run against the trie, so that branches no state survives on are never visited. The distance
-allowed follows from the length of the alias. A value that is the beginning of aliases of a single entry is taken for a
-shortened one. Every entry within reach is returned with its distance, the closest first.
+allowed follows from the length of the alias. Alias paths of an entry are its names, their words in reverse order, its names
+with and without the address ending that its other names have, and, read exactly and only where nothing else fits, every
+beginning that no other entry shares. Every entry within reach is returned with its distance, the closest first.
 
-Values and aliases are compared as keys: case, diacritics, spaces and punctuation are folded, and decorations (addresses,
-labels, paths of a breadcrumb, the word "news") are taken off.
+Values and aliases are compared as keys: case, diacritics, spaces and punctuation are folded, and the ``Decorations`` that the
+caller names (labels, addresses, words around a name, signs of a path) are taken off.
 
 Defined results
     null, '' , a value without letters ......... no entries
-    longer than ``MAX_LENGTH`` code points ..... no entries (no alias is that long)
+    very long values ........................... read whole; without decorations longer than any alias: no entries
     ties in distance ........................... the lower entry id first
     empty reference list ....................... no entries for any value
     repeated rows, extra columns ............... kept; the result is a new column
@@ -21,6 +22,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import pandas as pd
@@ -29,7 +31,6 @@ from pyspark.sql import functions as F
 
 from presslake.session import ship
 
-MAX_LENGTH = 200
 MAX_ENTRIES = 100_000
 #: Least letters of a shortened value, and its least share of the alias.
 PREFIX_LETTERS, PREFIX_SHARE = 3, 0.3
@@ -37,11 +38,16 @@ PREFIX_LETTERS, PREFIX_SHARE = 3, 0.3
 DISTANCE_BOUNDS = (4, 8)
 
 _FOLD = str.maketrans({"ə": "e", "ı": "i", "ø": "o", "ё": "е", "й": "и", "ł": "l", "đ": "d"})
-# Words that decorate a value without being part of it.
-_LABELS = re.compile(r"^\s*(mənbə|menbe|source|источник|kaynak)\s*:\s*", re.I)
-_ADDRESS = re.compile(r"^\s*(https?://)?(www\.|m\.)?", re.I)
-_TAIL = re.compile(r"(\s*\(rss\)|/+|\s*[–—-]?\s*\b(xəbərləri|xeberleri|news|новости|haberleri))\s*$", re.I)
-_PATH = re.compile(r"[/»>|]")
+
+
+@dataclass(frozen=True)
+class Decorations:
+    """What may stand around a name: before it with a colon, as the head of an address, after it, and between steps of a path."""
+
+    labels: tuple[str, ...] = ("mənbə", "menbe", "source", "источник", "kaynak")
+    addresses: tuple[str, ...] = ("https://", "http://", "www.", "m.")
+    tails: tuple[str, ...] = ("(rss)", "/", "xəbərləri", "xeberleri", "news", "новости", "haberleri")
+    steps: str = "/»>|"
 
 
 def key_of(value: str) -> str:
@@ -50,17 +56,28 @@ def key_of(value: str) -> str:
     return "".join(c for c in x.translate(_FOLD) if c.isalnum())
 
 
-def bare(value: str) -> str:
+@lru_cache(maxsize=16)
+def _patterns(d: Decorations) -> tuple[re.Pattern, re.Pattern, re.Pattern, re.Pattern]:
+    any_of = lambda words: "|".join(map(re.escape, words)) or r"(?!)"
+    word = [(r"\b" if t[0].isalnum() else "") + re.escape(t) for t in d.tails]
+    return (
+        re.compile(rf"^\s*(?:{any_of(d.labels)})\s*:\s*", re.I), re.compile(rf"^\s*(?:{any_of(d.addresses)})", re.I),
+        re.compile(rf"\s*[–—-]?\s*(?:{'|'.join(word) or '(?!)'})\s*$", re.I), re.compile(f"[{re.escape(d.steps)}]" if d.steps else r"(?!)"),
+    )
+
+
+def _stripped(value: str, pattern: re.Pattern) -> str:
+    """The value without all that the pattern takes off its ends, if anything is left."""
+    while (x := pattern.sub("", value)) != value and x.strip():
+        value = x
+    return value
+
+
+def bare(value: str, decorations: Decorations = Decorations()) -> str:  # noqa: B008
     """The value without decorations."""
-    x = _LABELS.sub("", unicodedata.normalize("NFC", value))
-    y = _ADDRESS.sub("", x)
-    x = y if y != x and y.strip() else x
-    for _ in range(3):
-        y = _TAIL.sub("", x)
-        if y == x or not y.strip():
-            break
-        x = y
-    parts = [p for p in _PATH.split(x) if p.strip()]
+    label, address, tail, step = _patterns(decorations)
+    x = _stripped(_stripped(label.sub("", unicodedata.normalize("NFC", value)), address), tail)
+    parts = [p for p in step.split(x) if p.strip()]
     return parts[-1] if len(parts) > 1 else x
 
 
@@ -92,6 +109,7 @@ class Trie:
             self.ends[at].add(entry)
             self.below[at].add(entry)
             self.longest[at] = max(self.longest[at], len(alias))
+        self.depth = max(self.longest, default=0)
 
     def search(self, word: str) -> dict[int, int]:
         """Least distance of every entry that has an alias within that alias's reach."""
@@ -115,48 +133,40 @@ class Trie:
                     stack.append((child, tuple(new), row, c, depth + 1))
         return found
 
-    def beginnings(self, word: str) -> set[int]:
-        """Entries with an alias that the word begins."""
+    def shortened(self, word: str) -> set[int]:
+        """The entry whose aliases alone the word begins, read along its alias path."""
         at = 0
         for c in word:
             at = self.children[at].get(c, -1)
             if at < 0:
                 return set()
-        return self.below[at] if len(word) >= max(PREFIX_LETTERS, PREFIX_SHARE * self.longest[at]) else set()
+        return self.below[at] if len(self.below[at]) == 1 and len(word) >= max(PREFIX_LETTERS, PREFIX_SHARE * self.longest[at]) else set()
 
 
 @lru_cache(maxsize=8)
-def trie_of(entries: tuple[tuple[int, tuple[str, ...]], ...]) -> Trie:
-    """Entries are (id, names); aliases of a name: itself, its address stem, its words in reverse order."""
+def trie_of(entries: tuple[tuple[int, tuple[str, ...]], ...], decorations: Decorations = Decorations()) -> Trie:  # noqa: B008
+    """Entries are (id, names). An address ending is what follows the last full stop of a name without spaces."""
     aliases = set()
     for entry, names in entries:
+        endings = {m[1] for name in names if (m := re.search(r"^\S+(\.\w+)$", name))}
         for name in names:
-            for form in (name, bare(name), re.sub(r"\.\w+$", "", name), " ".join(reversed(name.split()))):
+            stem = re.sub(r"\.\w+$", "", name) if " " not in name else name
+            for form in (name, bare(name, decorations), stem, " ".join(reversed(name.split())), *[stem + e for e in endings]):
                 if k := key_of(form):
                     aliases.add((k, entry))
     return Trie(sorted(aliases))
 
 
-def lookup(value: str, trie: Trie) -> list[tuple[int, int]]:
+def lookup(value: str, trie: Trie, decorations: Decorations = Decorations()) -> list[tuple[int, int]]:  # noqa: B008
     """(entry, distance) of every entry within reach, closest first; a shortened value has distance 0."""
-    if not value or len(value) > MAX_LENGTH:
+    word = key_of(bare(value, decorations)) if value else ""
+    if not word or word.isdigit() or len(word) > trie.depth + reach(trie.depth):
         return []
-    plain = bare(value)
-    stem = re.sub(r"[._]example\s*$", "", plain, flags=re.I)
-    found: dict[int, int] = {}
-    for form in {key_of(plain), key_of(stem)}:
-        if form and not form.isdigit():
-            for e, d in trie.search(form).items():
-                found[e] = min(found.get(e, d), d)
-    if not found:
-        short = key_of(plain)
-        entries = trie.beginnings(short) if short else set()
-        if len(entries) == 1:
-            found = dict.fromkeys(entries, 0)
+    found = trie.search(word) or dict.fromkeys(trie.shortened(word), 0)
     return sorted(found.items(), key=lambda x: (x[1], x[0]))
 
 
-def with_matches(df: DataFrame, value: str, entries: list[tuple[int, tuple[str, ...]]], out: str = "matches") -> DataFrame:
+def with_matches(df: DataFrame, value: str, entries: list[tuple[int, tuple[str, ...]]], out: str = "matches", decorations: Decorations = Decorations()) -> DataFrame:  # noqa: B008
     """Add ``out``: array of (ref_id, distance), closest first, empty if nothing is within reach.
 
     ``entries`` is a small reference list (at most ``MAX_ENTRIES``), shipped to the workers as a trie. Rows are mapped where
@@ -168,8 +178,8 @@ def with_matches(df: DataFrame, value: str, entries: list[tuple[int, tuple[str,
     ref = tuple(sorted((int(i), tuple(n for n in names if n)) for i, names in entries))
 
     def match(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        trie = trie_of(ref)
-        cached = lru_cache(maxsize=200_000)(lambda v: [{"ref_id": e, "distance": d} for e, d in lookup(v, trie)])
+        trie = trie_of(ref, decorations)
+        cached = lru_cache(maxsize=200_000)(lambda v: [{"ref_id": e, "distance": d} for e, d in lookup(v, trie, decorations)])
         for values in batches:
             yield pd.Series([cached(v) if v else [] for v in values], dtype=object)
 

@@ -18,9 +18,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from presslake.session import MAX_BROADCAST_ROWS
+from presslake.session import MAX_BROADCAST_ROWS, checkpointed
 
 MIN_DOCS, MIN_SHARE = 5, 0.05
+#: Parts of a source or line where the frequent lines are too many to be broadcast.
+SALT = 64
 
 
 def normal_line(line: Column) -> Column:
@@ -47,21 +49,30 @@ def repeated_places(docs: DataFrame, key: str, source: str, text: str, min_docs:
     """(key, line_no, line, n_docs) of every repeated line in its place; lines are numbered from 1 without blank ones."""
     frequent = frequent_lines(docs, source, text, min_docs, min_share)
     some = frequent.limit(MAX_BROADCAST_ROWS + 1).collect()
+    on = ["source", "h"]
     lines = docs.where(F.col(source).isNotNull() & (F.length(text) > 0)).select(
         F.col(key).alias("key"), F.col(source).alias("source"), F.posexplode(numbered_lines(F.col(text))).alias("pos", "x")
     )
     lines = lines.select("key", "source", (F.col("pos") + 1).alias("line_no"), F.col("x.h").alias("h"), F.col("x.line").alias("line"))
     if len(some) <= MAX_BROADCAST_ROWS:
         frequent = F.broadcast(docs.sparkSession.createDataFrame(some, frequent.schema))
-    return lines.join(frequent, ["source", "h"]).select(F.col("key").alias(key), "line_no", "line", "n_docs")
+    else:  # a frequent line is a hot key by definition: its documents are spread, and the lines are sent to each part
+        on = [*on, "salt"]
+        lines = lines.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALT)).cast("int"))
+        frequent = frequent.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt"))
+    return lines.join(frequent, on).select(F.col("key").alias(key), "line_no", "line", "n_docs")
 
 
 def without_repeated(docs: DataFrame, key: str, source: str, text: str, min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE) -> DataFrame:
     """(key, clean_text, n_removed): texts without repeated lines; other lines and blank ones stay as they are."""
-    frequent = frequent_lines(docs, source, text, min_docs, min_share)
+    frequent = checkpointed(frequent_lines(docs, source, text, min_docs, min_share))  # counted and joined
     per_source = frequent.groupBy("source").agg(F.collect_set("h").alias("hs"))  # bounded by lines per document / share
     base = docs.select(F.col(key).alias("key"), F.col(source).alias("source"), F.col(text).alias("t"))
-    joined = base.join(F.broadcast(per_source), "source", "left") if frequent.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS else base.join(per_source, "source", "left")
+    if frequent.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS:
+        joined = base.join(F.broadcast(per_source), "source", "left")
+    else:
+        salted = per_source.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt"))
+        joined = base.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALT)).cast("int")).join(salted, ["source", "salt"], "left")
     hs = F.coalesce(F.col("hs"), F.array().cast("array<bigint>"))
     kept = F.filter(F.split("t", "\n"), lambda x: ~F.array_contains(hs, F.xxhash64(normal_line(x))) | (F.length(F.translate(x, " \t ", "")) == 0))
     n = F.size(F.split("t", "\n")) - F.size(kept)

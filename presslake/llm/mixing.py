@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from presslake.session import bounded_rows, checkpointed
 
+#: Bound of the list of targets; a source needs a slot, so more than ``SLOTS`` could not be served.
 MAX_SOURCES = 1000
 SLOTS = 10_000
 HASH_BUCKETS = 4096
@@ -76,9 +77,12 @@ def mix_sources(docs: DataFrame, targets: DataFrame, key: str, source: str, size
     begins = sums.withColumn("begin", F.sum("n").over(Window.partitionBy("s").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)))
     begins = begins.select("s", "b", F.coalesce("begin", F.lit(0)).alias("begin"))
     inner = Window.partitionBy("s", "b").orderBy("h", "k").rowsBetween(Window.unboundedPreceding, -1)
-    placed = sized.withColumn("inside", F.coalesce(F.sum("n").over(inner), F.lit(0))).join(F.broadcast(begins), ["s", "b"]).join(F.broadcast(quota), "s")
-    used = placed.select("s", "k", "n", "quota", "total", (F.col("begin") + F.col("inside")).alias("at"), F.explode(F.sequence(F.lit(0), F.col("r") - 1)).alias("copy"))
-    used = used.withColumn("at", F.col("at") + F.col("copy") * F.col("total")).where(F.col("at") + F.col("n") / 2 <= F.col("quota"))
+    placed = sized.withColumn("inside", F.coalesce(F.sum("n").over(inner), F.lit(0))).join(begins, ["s", "b"]).join(F.broadcast(quota), "s")
+    # How many passes reach a document follows from its place; only uses that count are made.
+    placed = placed.withColumn("at", F.col("begin") + F.col("inside"))
+    uses = F.least(F.floor((F.col("quota") - F.col("n") / 2 - F.col("at")) / F.col("total")) + 1, F.col("r").cast("bigint")).cast("int")
+    used = placed.withColumn("uses", uses).where("uses > 0").select("s", "k", "n", "total", "at", F.explode(F.sequence(F.lit(0), F.col("uses") - 1)).alias("copy"))
+    used = used.withColumn("at", F.col("at") + F.col("copy") * F.col("total"))
 
     block = max(whole / slots, 1e-9)
     schedule = spark.createDataFrame(pfair_schedule(alive, slots) or [(0, "", 0)], "slot int, s string, j int")

@@ -14,7 +14,7 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     articles = table(spark, sf_dir, "articles")
     portals = table(spark, sf_dir, "portals").select("source_name", "main_lang")
     # One text of title and content, so that the words of headlines are in the dictionaries too.
-    labelled = articles.select("id", "source_name", F.concat_ws("\n", "title", "content_text").alias("text")).join(F.broadcast(portals), "source_name")
+    labelled = articles.select("id", "source_name", F.concat_ws("\n", "title", "content_text").alias("text")).join(portals, "source_name")
     dictionaries = encoding.train_dictionaries(labelled, "id", "main_lang", "text")
     field = lambda name: F.struct(F.lit(name).alias("field_name"), F.col(name).alias("value"))
     # ASCII has no second reading; it is dropped before Python sees it.
@@ -131,7 +131,7 @@ def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = a_langs.unionByName(n_langs).groupBy("rec_kind", "rec_id").agg(F.max("label").alias("label"))
     # Taught by articles whose declared language is also that of their portal.
     portals = table(spark, sf_dir, "portals").select("source_name", "main_lang")
-    agreed = articles.select("id", "source_name").join(F.broadcast(portals), "source_name")
+    agreed = articles.select("id", "source_name").join(portals, "source_name")
     agreed = agreed.join(a_langs.select(F.col("rec_id").cast("bigint").alias("id"), "label"), "id").where(F.col("label") == F.col("main_lang"))
     models = language.train_models(articles, "id", "label", "content_text", agreed.select("id", "label"))
     texts = articles.select(F.lit("articles").alias("rec_kind"), F.col("id").cast("string").alias("rec_id"), F.col("content_text").alias("text")).unionByName(
@@ -158,7 +158,7 @@ def p5_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _mixed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     targets = table(spark, sf_dir, "mix_targets")
-    documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text").join(F.broadcast(targets.select("source")), "source", "left_semi")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text").join(targets.select("source"), "source", "left_semi")
     sized = tokenizer.encode_texts(documents, "doc_id", "text", keep=("source",)).select("doc_id", "source", F.size("ids").alias("n_tokens"))
     return mixing.mix_sources(sized, targets, "doc_id", "source", "n_tokens")
 

@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from presslake.session import MAX_BROADCAST_ROWS, bounded_rows
+from presslake.session import MAX_BROADCAST_ROWS, bounded_rows, checkpointed
 
 #: Documented bound of the training sample, number of weights, steps and strength of the regularisation of the fit.
 SAMPLE_ROWS, BUCKETS, STEPS, L2 = 12_000, 1 << 14, 200, 1e-4
@@ -127,14 +127,12 @@ def score_texts(df: DataFrame, key: str, source: str, text: str, title: str) ->
     """(key, source, score): positive where the text is taken for cut off; null for null and blank texts."""
     spark = df.sparkSession
     docs = df.select(F.col(key).alias("k"), F.col(source).alias("source"), F.when(F.col(text).rlike(r"[^\s\u00a0]"), F.col(text)).alias("t"), F.trim(title).alias("title"))
-    limits = bounded_rows(source_limits(docs, "source", "t"), MAX_BROADCAST_ROWS, "length limits")
-    by_source: dict[str, dict[str, list[int]]] = {}
-    for r in limits:
-        if r.source is not None:
-            by_source.setdefault(r.source, {"chars": [], "bytes": []})[r.kind].append(r["size"])
-    table = F.from_json(F.lit(json.dumps(by_source)), "map<string,struct<chars:array<int>,bytes:array<int>>>")
-    limit = F.try_element_at(table, F.coalesce("source", F.lit("")))
-    at = lambda t, kind: F.coalesce(F.array_contains(limit[kind], F.length(t) if kind == "chars" else F.octet_length(t)), F.lit(False))
+    # The limits of a source are a few lengths; they meet its texts in a join, broadcast only where there are few sources.
+    sizes = lambda kind: F.collect_list(F.when(F.col("kind") == kind, F.col("size"))).alias(f"at_{kind}")
+    limits = checkpointed(source_limits(docs, "source", "t").groupBy("source").agg(sizes("chars"), sizes("bytes")))
+    few = len(limits.select("source").limit(MAX_BROADCAST_ROWS + 1).collect()) <= MAX_BROADCAST_ROWS
+    docs = docs.join(F.broadcast(limits) if few else limits, "source", "left")
+    at = lambda t, kind: F.coalesce(F.array_contains(F.col(f"at_{kind}"), F.length(t) if kind == "chars" else F.octet_length(t)), F.lit(False))
     features = lambda x, t: with_features(x, t, at(F.col(t), "chars"), at(F.col(t), "bytes"), F.coalesce(F.trim(t) == F.col("title"), F.lit(False)))
 
     # The sample: as many rows as the bound allows, by hash of the key.
@@ -144,7 +142,7 @@ def score_texts(df: DataFrame, key: str, source: str, text: str, title: str) ->
     if n > SAMPLE_ROWS:
         some = some.where(draw(1, 1_000_000) < int(1_000_000 * SAMPLE_ROWS / n))
     size = F.length("t")
-    to_limit = F.array_min(F.filter(limit["chars"], lambda c: c < size))
+    to_limit = F.array_min(F.filter("at_chars", lambda c: c < size))
     place = F.when((draw(2, 2) == 0) & to_limit.isNotNull(), to_limit).otherwise((size * (20 + draw(3, 75)) / 100).cast("int"))
     cut = F.substr("t", F.lit(1), F.greatest(place, F.lit(1)))
     cut = F.when(draw(4, 3) == 0, F.regexp_replace(cut, r"\s+\S*$", "")).otherwise(cut)
@@ -153,8 +151,8 @@ def score_texts(df: DataFrame, key: str, source: str, text: str, title: str) ->
     at_limit = at(F.col("t"), "chars") | at(F.col("t"), "bytes")
     # A cut that happens to close a sentence is nothing to learn from.
     made = some.where(intact & ~at_limit).withColumn("cut", cut).where(~F.regexp_replace("cut", _MARK, "").rlike(r"[.!?]" + _CLOSERS + r"?\s*$"))
-    negative = features(some.where(~at_limit).select("source", "t", "title"), "t").select("x", F.lit(0).alias("y"))
-    positive = features(made.select("source", "cut", "title"), "cut").select("x", F.lit(1).alias("y"))
+    negative = features(some.where(~at_limit), "t").select("x", F.lit(0).alias("y"))
+    positive = features(made, "cut").select("x", F.lit(1).alias("y"))
     rows = bounded_rows(negative.unionByName(positive), 3 * SAMPLE_ROWS, "training rows")
     weights = fit_weights(sorted((list(r.x), r.y) for r in rows))
     literal = F.from_json(F.lit(json.dumps([round(float(w), 6) for w in weights])), "array<double>")

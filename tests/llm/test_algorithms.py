@@ -173,7 +173,7 @@ def test_mix(spark):
     assert empty.count() == 0 and {r.actual_share for r in none.collect()} == {0.0}
 
 
-def test_truncation(spark):
+def test_truncation(spark, monkeypatch):
     r = random.Random(2)
     words = "nazirlik verilən xəbərə əsasən şəhər istiqamətində hərəkət müvəqqəti məhdudlaşdırılıb görüşdə tərəflər əlaqələrin inkişafını müzakirə ediblər".split()
     sentence = lambda: " ".join(r.choice(words) for _ in range(9)).capitalize() + "."
@@ -190,4 +190,6 @@ def test_truncation(spark):
     assert sum(got[i] > 0 for i in range(first)) <= 0.02 * first
     assert {x.id for x in truncation.cut_off(scored).collect()} == {i for i, s in got.items() if s is not None and s > 0}
     assert truncation.truncation_rates(scored, "source").where("source = 's'").collect()[0].n_texts == first + len(cut)
+    monkeypatch.setattr(truncation, "MAX_BROADCAST_ROWS", 0)  # limits that meet their texts in a shuffle
+    assert {x.id: x.score for x in truncation.score_texts(df, "id", "source", "t", "title").collect()} == got
     assert truncation.score_texts(df.limit(0), "id", "source", "t", "title").count() == 0

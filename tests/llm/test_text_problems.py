@@ -105,7 +105,7 @@ def test_trie_finds_what_brute_force_finds():
 
 
 @pytest.mark.parametrize(("value", "want"), [
-    ("SIYASƏT", 1), ("Syiasət", 1), ("Политика – новости", 1), ("Home » Politics", 1), ("#Dinihəyat", 13), ("həyat Dini", 13), ("Dini hə…", 13), ("Texnolog.", 8), ("Horoskop", None), ("cat_0917", None), ("???", None), ("", None), (None, None), ("x" * 9999, None), ("17", None),
+    ("SIYASƏT", 1), ("Syiasət", 1), ("Политика – новости", 1), ("Home » Politics", 1), ("#Dinihəyat", 13), ("həyat Dini", 13), ("Dini hə…", 13), ("Texnolog.", 8), ("Horoskop", None), ("cat_0917", None), ("???", None), ("", None), (None, None), ("x" * 9999, None), ("17", None), ("Əsas səhifə / " * 40 + "Siyasət", 1), ("Siyasət xəbərləri" + "/" * 500, 1),
 ])
 def test_values(spark, value, want):
     df = spark.createDataFrame([(value, 1)], "v string, ref_id int")
@@ -114,7 +114,7 @@ def test_values(spark, value, want):
     assert canonical.with_matches(df, "v", []).collect()[0].matches == []
 
 
-def test_repeated_lines_against_brute_force(spark):
+def test_repeated_lines_against_brute_force(spark, monkeypatch):
     docs = [(i, "p" if i % 3 else "q", f"Unique {chr(97 + i % 26)}{i}x\n Views: {i}  times \n\nShare it\nOwn {'z' * i}") for i in range(60)]
     docs += [(100, "p", None), (101, "p", ""), (102, "p", " \n\t"), (103, None, "Share it"), (104, "r", "Share it"), (105, "p", "Share it\nShare it")]
     df = spark.createDataFrame([(*d, "clash") for d in docs], "id int, src string, t string, h string")
@@ -130,6 +130,9 @@ def test_repeated_lines_against_brute_force(spark):
     clean = {r.id: (r.clean_text, r.n_removed) for r in lines.without_repeated(df, "id", "src", "t").collect()}
     assert clean[105] == ("", 2) and clean[100] == (None, 0) and clean[103] == ("Share it", 0) and "Share" not in clean[1][0]
     assert lines.repeated_places(df.limit(0), "id", "src", "t").count() == 0
+    monkeypatch.setattr(lines, "MAX_BROADCAST_ROWS", 0)  # the other way
+    assert sorted((r.id, r.line_no) for r in lines.repeated_places(df, "id", "src", "t").collect()) == want
+    assert {r.id: (r.clean_text, r.n_removed) for r in lines.without_repeated(df, "id", "src", "t").collect()} == clean
 
 
 def test_phrases_against_brute_force():
