@@ -8,13 +8,15 @@ from pyspark.sql import functions as F
 from presslake.functions.text import normalize_whitespace
 
 OFFSET = "+04:00"
-# Names of the months.
+# Names of the months; August is written in two ways.
+AUGUST = "avgust"
 AZ_MONTHS = ["yanvar", "fevral", "mart", "aprel", "may", "iyun", "iyul", "avqust", "sentyabr", "oktyabr", "noyabr", "dekabr"]
 EN_MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
 
 
 def _month(name: Column, names: list[str]) -> Column:
-    return F.create_map(*[F.lit(x) for i, n in enumerate(names, 1) for x in (n, f"{i:02d}")])[F.lower(F.translate(name, "İI", "iı" if names is AZ_MONTHS else "ii"))]
+    listed = [*enumerate(names, 1), *([(8, AUGUST)] if names is AZ_MONTHS else [])]
+    return F.create_map(*[F.lit(x) for i, n in listed for x in (n, f"{i:02d}")])[F.lower(F.translate(name, "İI", "iı" if names is AZ_MONTHS else "ii"))]
 
 
 def _date(y: Column, m: Column, d: Column) -> Column:
@@ -137,6 +139,34 @@ def visible_datetime(x: Column, year: Column) -> Column:
     return F.coalesce(F.nullif(whole, F.lit("")), F.nullif(azerbaijani_date(t, year), F.lit("")), t)
 
 
+def schema_datetime(x: Column) -> Column:
+    """``dd.MM.yyyy HH:mm:ss`` or ``yyyy-MM-dd HH:mm:ss`` at +04:00, else an ISO time with its own offset."""
+    t = normalize_whitespace(x)
+    return F.coalesce(_numeric(t, r"^(\d{2})\.(\d{2})\.(\d{4}) (\d{2}):(\d{2}):(\d{2})$", 3, 2, 1, 4), _numeric(t, r"^(\d{4})-(\d{2})-(\d{2}) (\d{2}):(\d{2}):(\d{2})$", 1, 2, 3, 4), iso_with_offset(t))
+
+
+def feed_datetime(x: Column) -> Column:
+    """An ISO time converted to +04:00; what can't be read comes back as it is."""
+    return F.coalesce(F.nullif(at_fixed_offset(x), F.lit("")), x, F.lit(""))
+
+
+def card_datetime(date: Column, time: Column, year: Column) -> Column:
+    """Date and time of a listing card from its two parts, or from the first alone where the second is missing."""
+    both = normalize_whitespace(time) != ""
+    return F.when(both, azerbaijani_datetime(date, time, year)).otherwise(apa_datetime(date, year))
+
+
+def first_instant(candidates: list[Column], fallback: Column) -> Column:
+    """The first of several texts that is an ISO time or date, as a timestamp; else ``fallback`` (the time of the run)."""
+    ok = lambda c: F.when(F.trim(c).rlike(r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})?)?$"), F.try_to_timestamp(F.regexp_replace(F.trim(c), r"([+-]\d{2})(\d{2})$", "$1:$2")))
+    return F.coalesce(*[ok(c) for c in candidates], fallback)
+
+
+def heartbeat(x: Column) -> Column:
+    """The time of a heartbeat; 1970 if it can't be read."""
+    return F.coalesce(F.try_to_timestamp(F.when(F.trim(x) != "", F.trim(x))), F.lit("1970-01-01 00:00:00").cast("timestamp"))
+
+
 def at_fixed_offset(x: Column) -> Column:
     """An ISO time converted to +04:00; '' if it names no offset or can't be read. Independent of the session's zone."""
     t = normalize_whitespace(x)

@@ -56,10 +56,16 @@ def title_from_content(x: Column, words: int = 18) -> Column:
     return F.concat_ws(" ", F.slice(F.split(normalize_space(F.substring_index(x, "\n", 1)), " "), 1, words))
 
 
+def media_body(text: Column, media: Column) -> Column:
+    """The text of a message, or a note about its media type where it has no text."""
+    t, m = normalize_whitespace(text), normalize_whitespace(media)
+    return F.when((t == "") & (m != ""), F.concat(F.lit("[telegram media post without caption] "), m)).otherwise(t)
+
+
 def message_title(title: Column, text: Column, media: Column) -> Column:
     """Title, else the first sentence, else the first 160 characters, else a note about the media type."""
-    t = normalize_whitespace(text)
-    note = F.when(media.isNotNull() & (media != ""), F.concat(F.lit("[telegram media post] "), media))
+    t, m = normalize_whitespace(text), normalize_whitespace(media)
+    note = F.when((t == "") & (m != ""), F.concat(F.lit("[telegram media post] "), m))
     return first_non_empty(title, F.substring_index(t, ". ", 1), F.left(t, F.lit(160)), note)
 
 
@@ -71,10 +77,22 @@ def safe_int(x: Column) -> Column:
     return F.trim(x).try_cast("bigint")
 
 
-def primary_category(a: Column, noise: list[str], fallback: str) -> Column:
-    """The first category that isn't noise, else ``fallback``."""
-    wanted = F.filter(a, lambda c: (c != "") & ~F.lower(c).isin([n.lower() for n in noise]))
-    return F.coalesce(F.try_element_at(wanted, F.lit(1)), F.lit(fallback))
+def primary_category(a: Column, noise: list[str], fallback: Column, canonical: str = "", home: list[str] = []) -> Column:  # noqa: B006
+    """The first category (``fallback`` is the last) that isn't noise; else ``canonical`` if that is among them, else the first that isn't home, else ''."""
+    listed = unique_in_order(F.transform(F.concat(a, F.array(fallback)), normalize_whitespace))
+    first = lambda keep: F.try_element_at(F.filter(listed, keep), F.lit(1))
+    wanted = first(lambda c: ~F.lower(c).isin([n.lower() for n in noise]))
+    named = F.when(F.exists(listed, lambda c: F.lower(c) == canonical.lower()), canonical) if canonical else F.lit(None)
+    return F.coalesce(wanted, named, first(lambda c: ~F.lower(c).isin([n.lower() for n in home])), F.lit(""))
+
+
+def kept_paragraphs(a: Column, starts: list[str], contains: list[str], equals: list[str]) -> Column:
+    """Paragraphs without those that begin with, hold, or are one of the given texts."""
+    bad = lambda p: F.lit(False)
+    tests = [*[(lambda p, t=t: p.startswith(t)) for t in starts], *[(lambda p, t=t: p.contains(t)) for t in contains], *[(lambda p, t=t: p == t) for t in equals]]
+    for t in tests:
+        bad = lambda p, b=bad, t=t: b(p) | t(p)
+    return F.filter(a, lambda p: ~bad(p))
 
 
 def safe_name(x: Column) -> Column:
@@ -96,11 +114,11 @@ def message_hash(title: Column, body: Column) -> Column:
     return sha256_text(F.concat(F.coalesce(title, F.lit("")), F.lit("\n"), F.coalesce(body, F.lit(""))))
 
 
-def dedupe_key(url: Column, content_hash: Column, title: Column, date: Column) -> Column:
-    """``url:``, else ``hash:``, else ``sim:`` key of a record."""
+def dedupe_key(canonical_url: Column, content_hash: Column, title: Column, published: Column) -> Column:
+    """``url:`` of a canonical address, else ``hash:``, else ``sim:`` of the normalized title in lower case and the day of publication."""
     has = lambda c: c.isNotNull() & (c != "")
-    similar = F.concat(F.lit("sim:"), sha256_text(F.concat(F.lower(F.coalesce(title, F.lit(""))), F.lit("|"), F.coalesce(date, F.lit("")))))
-    return F.when(has(url), F.concat(F.lit("url:"), url)).when(has(content_hash), F.concat(F.lit("hash:"), content_hash)).otherwise(similar)
+    similar = F.concat(F.lit("sim:"), sha256_text(F.concat(F.lower(normalize_whitespace(title)), F.lit("|"), F.coalesce(published.cast("date").cast("string"), F.lit("")))))
+    return F.when(has(canonical_url), F.concat(F.lit("url:"), canonical_url)).when(has(content_hash), F.concat(F.lit("hash:"), content_hash)).otherwise(similar)
 
 
 def record_uuid(*key: Column) -> Column:

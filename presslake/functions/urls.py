@@ -13,27 +13,27 @@ TRACKING = r"(?i)^(utm_|fbclid|gclid)"
 
 # Shapes of article paths by portal, as (id, slug, category) patterns; an id group is digits.
 PATH_PATTERNS: dict[str, tuple[str | None, str | None, str | None]] = {
-    "sonxeber.az": (r"^/(\d{6})(?:/[^/]*)?/?$", r"^/\d{6}/([^/]+)/?$", None),
+    "sonxeber.az": (r"^/(\d{6})(?:/[^/?#]+)?/?$", r"^/\d{6}/([^/?#]+)/?$", None),
     "oxu.az": (r"/(\d{4,})/?$", None, None),
-    "metbuat.az": (r"^/news/(\d+)(?:/[^/]*)?/?$", r"^/news/\d+/([^/]+?)(?:\.html)?/?$", None),
+    "metbuat.az": (r"^/news/(\d+)(?:/[^/?#]+?(?:\.html)?)?/?$", r"^/news/\d+/([^/?#]+?)(?:\.html)?/?$", None),
     "report.az": (r"(?:^|/)(\d{4,})/?$", None, None),
     "azertag.az": (r"^/az/xeber/(\d+)/?$", None, None),
-    "yenixeber.az": (r"^/[^/]+-(\d+)/?$", r"^/([^/]+)-\d+/?$", None),
-    "teleqraf.az": (r"^/news/[^/]+/(\d+)\.html$", None, r"^/news/([^/]+)/\d+\.html$"),
-    "axar.az": (r"^/news/[^/]+/(\d+)\.html$", None, r"^/news/([^/]+)/\d+\.html$"),
-    "milli.az": (r"^/(?!tag/)[^/]+/(\d+)\.html$", None, r"^/(?!tag/)([^/]+)/\d+\.html$"),
+    "yenixeber.az": (r"^/[^/?#]+-(\d+)/?$", r"^/([^/?#]+)-\d+/?$", None),
+    "teleqraf.az": (r"^/news/[^/?#]+/(\d+)\.html/?$", None, r"^/news/([^/?#]+)/\d+\.html/?$"),
+    "axar.az": (r"^/news/[^/?#]+/(\d+)\.html/?$", None, r"^/news/([^/?#]+)/\d+\.html/?$"),
+    "milli.az": (r"^/(?!tag/)[^/?#]+/(\d+)\.html/?$", None, r"^/(?!tag/)([^/?#]+)/\d+\.html/?$"),
     "azerbaijan.az": (r"^/news/(\d+)/?$", None, None),
-    "ikisahil.az": (r"^/post/(\d{5,})-(?!share/?$)[^/]+/?$", r"^/post/(?:\d{5,}-)?([^/]+?)/?$", None),
-    "azxeber.com": (None, r"^/az/([^/]+)/[^/]+/?$", r"^/az/[^/]+/([^/]+)/?$"),
-    "apa.az": (r"^/[^/]+/(?:[^/]*?-)?(-?\d+)/?$", r"^/[^/]+/([^/]+)-\d+/?$", r"^/([^/]+)/(?:[^/]*-)?\d+/?$"),
-    "xeberler.az": (r"^/new/details/.+--(\d+)\.htm$", r"^/new/details/(.+)--\d+\.htm$", None),
+    "ikisahil.az": (r"^/post/(\d{5,})-(?!share/?$)[^/?#]+?/?$", r"^/post/(?!\d{5,}-share/?$)(?:\d{5,}-)?([^/?#]+?)/?$", None),
+    "azxeber.com": (None, r"^/az/([^/?#]+)/[^/?#]+/?$", r"^/az/[^/?#]+/([^/?#]+)/?$"),
+    "apa.az": (r"^/[^/?#]+/(?:[^/?#]+-)?(-?\d+)/?$", r"^/[^/?#]+/([^/?#]+)--?\d+/?$", r"^/([^/?#]+)/(?:[^/?#]+-)?-?\d+/?$"),
+    "xeberler.az": (r"^/new/details/[^/?#]+?--(\d+)\.htm/?$", r"^/new/details/([^/?#]+?)--\d+\.htm/?$", None),
     "siyasetinfo.az": (r"^/(\d{3,})/?$", None, None),
-    "yeniazerbaycan.com": (r"^/[^/]+_e(\d+)_az\.html$", None, r"^/([^/]+)_e\d+_az\.html$"),
-    "islam.az": (r"^/(\d{4,})/[^/]+/?$", r"^/\d{4,}/([^/]+)/?$", None),
-    "islamazeri.com": (r"(?i)^/image/haber/(?:\d+x\d+/)?.*-(\d+)\.(?:jpg|png|webp)$", r"^/([^/]+)\.html$", None),
-    "sia.az": (r"^/az/news/[^/]+/(\d+)\.html$", None, r"^/az/news/([^/]+)/\d+\.html$"),
-    "1news.az": (r"^/az/news/(\d{17})(?:-[^/]*)?/?$", r"^/az/news/\d{17}-([^/]+?)/?$", None),
-    "iqtisadiyyat.az": (r"^/az/post/[^/]+-(\d+)/?$", r"^/az/post/([^/]+)-\d+/?$", None),
+    "yeniazerbaycan.com": (r"^/[^/_?#]+_e(\d+)_az\.html/?$", None, r"^/([^/_?#]+)_e\d+_az\.html/?$"),
+    "islam.az": (r"^/(\d{4,})/[^/?#]+/?$", r"^/\d{4,}/([^/?#]+)/?$", None),
+    "islamazeri.com": (r"(?i)^/image/haber(?:/\d+x\d+)?/[^/?#]*-(\d+)\.(?:jpe?g|png|webp)$", r"^/([^/?#]+?)\.html/?$", None),
+    "sia.az": (r"^/az/news/[^/?#]+/(\d+)\.html/?$", None, r"^/az/news/([^/?#]+)/\d+\.html/?$"),
+    "1news.az": (r"^/az/news/(\d{17})(?:-[^/?#]+)?/?$", r"^/az/news/\d{17}-([^/?#]+)/?$", None),
+    "iqtisadiyyat.az": (r"^/az/post/[^/?#]+-(\d+)/?$", r"^/az/post/([^/?#]+)-\d+/?$", None),
 }
 
 
@@ -55,33 +55,57 @@ def normalize_url(url: Column) -> Column:
     return F.when(u.rlike(_URL), whole).otherwise(F.rtrim(u, F.lit("/")))
 
 
+def _form(x: Column) -> Column:
+    """A part of a query decoded and encoded again, as HTML forms write it."""
+    spaced = F.replace(x, F.lit("+"), F.lit(" "))
+    again = F.url_encode(F.coalesce(F.try_url_decode(x), spaced))
+    return F.replace(F.replace(again, F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
+
+
 def canonicalize_url(url: Column) -> Column:
-    """Lower scheme and host, no tracking parameters, no fragment, no last slash; null as ''."""
+    """Lower scheme and host, no tracking parameters, the others encoded alike and in order (blank ones too), no fragment, no last slash; null as ''."""
     u = F.regexp_replace(normalize_whitespace(url), "#.*$", "")
     base = F.substring_index(u, "?", 1)
     query = F.when(u.contains("?"), F.regexp_extract(u, r"\?(.*)$", 1)).otherwise("")
-    kept = F.array_join(F.filter(F.split(query, "&"), lambda p: p.rlike("^[^=]+=.+") & ~p.rlike(TRACKING)), "&")
+    name = lambda p: F.substring_index(p, "=", 1)
+    pairs = F.filter(F.split(query, "&"), lambda p: (p != "") & ~F.coalesce(F.try_url_decode(name(p)), name(p)).rlike(TRACKING))
+    kept = F.array_join(F.transform(pairs, lambda p: F.concat(_form(name(p)), F.lit("="), _form(F.substr(p, F.length(name(p)) + 2)))), "&")
     host = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/]*)", 1)
     low = F.concat(F.lower(host), F.substr(base, F.length(host) + 1))
     return F.rtrim(F.when(kept != "", F.concat(low, F.lit("?"), kept)).otherwise(low), F.lit("/"))
 
 
+def resolve_dots(path: Column) -> Column:
+    """A path without ``.`` and ``..`` segments, in one pass over its segments; what would climb beyond the root is dropped."""
+    segments = F.split(path, "/")
+    walk = F.aggregate(
+        segments, F.array().cast("array<string>"),
+        lambda done, x: F.when(x == ".", done).when(x == "..", F.when(F.size(done) > 1, F.slice(done, F.lit(1), F.size(done) - 1)).otherwise(done)).otherwise(F.concat(done, F.array(x))),
+    )
+    whole = F.array_join(walk, "/")
+    return F.when(F.element_at(segments, -1).isin(".", "..") & ~whole.endswith("/"), F.concat(whole, F.lit("/"))).otherwise(whole)
+
+
 def make_absolute_url(base: Column, url: Column) -> Column:
-    """``url`` as seen from the page ``base``; '' for ''. Dot segments are resolved one level at a time, five deep."""
+    """``url`` as seen from the page ``base``; '' for ''. Dot segments are resolved whatever their depth."""
     u, root = F.trim(url), F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
     folder = F.regexp_replace(url_path(base), r"[^/]*$", "")
-    joined = F.concat(F.when(folder == "", "/").otherwise(folder), F.regexp_replace(u, r"^(\./)+", ""))
-    for _ in range(5):
-        joined = F.regexp_replace(joined, r"/(?!\.\./)[^/]+/\.\./", "/")
-    joined = F.regexp_replace(F.regexp_replace(joined, r"/\./", "/"), r"^(/\.\.)+/", "/")
+    tail = F.regexp_extract(u, r"([?#].*)$", 1)
+    step = F.substr(u, F.lit(1), F.length(u) - F.length(tail))
+    path = F.when(step.startswith("/"), step).otherwise(F.concat(F.when(folder == "", "/").otherwise(folder), step))
     return (
         F.when(u.isNull() | (u == ""), F.lit("")).when(u.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), u)
         .when(u.startswith("//"), F.concat(F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*:)", 1), u))
-        .when(u.startswith("/"), F.concat(root, u)).when(u.startswith("?"), F.concat(root, url_path(base), u))
-        .when(u.startswith("#"), F.concat(F.regexp_replace(base, "#.*$", ""), u)).otherwise(F.concat(root, joined))
+        .when(u.startswith("?"), F.concat(root, url_path(base), u))
+        .when(u.startswith("#"), F.concat(F.regexp_replace(base, "#.*$", ""), u)).otherwise(F.concat(root, resolve_dots(path), tail))
     )
 
 
+def unify_host(url: Column, hosts: list[str], to: str) -> Column:
+    """The address at one host, if its host is one of several names of it."""
+    return F.when(url_host(url).isin(hosts), F.regexp_replace(F.trim(url), r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*", to)).otherwise(F.trim(url))
+
+
 def extract_urls(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"(?i)(https?://\S+)"), F.lit(1)))
 
@@ -136,4 +160,4 @@ def article_category(source: Column, url: Column) -> Column:
 
 def is_article_url(source: Column, url: Column) -> Column:
     """Whether the address has the shape of an article of its portal."""
-    return article_id(source, url).isNotNull() | ((article_slug(source, url) != "") & source.isin("azxeber.com", "islamazeri.com", "ikisahil.az") & ~url_path(url).rlike(r"-share/?$"))
+    return article_id(source, url).isNotNull() | ((article_slug(source, url) != "") & source.isin("azxeber.com", "islamazeri.com", "ikisahil.az") & ~url_path(url).rlike(r"^/post/\d{5,}-share/?$"))

@@ -91,19 +91,36 @@ def candidate_labels(spark: SparkSession, d: str) -> DataFrame:
     return merged.select("source_name", "url_key", F.array_join("discovery_sources", ",").alias("labels"))
 
 
-@query("SELECT DISTINCT source_name, url_key FROM (SELECT source_name, " + _URL("url") + " AS url_key FROM candidates) c WHERE NOT EXISTS (SELECT 1 FROM articles a WHERE a.source_name = c.source_name AND " + _URL("a.article_url") + " = c.url_key)")
+# The last step of a path stays where a portal redirects to another section.
+_LAST = lambda u: f"regexp_replace(rtrim(regexp_extract(trim({u}), '^(?:[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)?([^?#]*)', 1), '/'), '^.*/', '')"
+
+
+def _by_address(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """(source_name, address) of candidates and of stored articles, relative addresses resolved; the address is the last step of its path."""
+    c = table(spark, d, "candidates").select("source_name", urls.last_segment(F.col("url")).alias("address")).distinct()
+    whole = urls.make_absolute_url(F.concat(F.lit("https://"), "source_name", F.lit("/")), F.col("article_url"))
+    return c, table(spark, d, "articles").select("source_name", urls.last_segment(whole).alias("address"))
+
+
+@query(f"SELECT DISTINCT source_name, {_LAST('url')} AS address FROM candidates c WHERE NOT EXISTS (SELECT 1 FROM articles a WHERE a.source_name = c.source_name AND {_LAST('a.article_url')} = {_LAST('c.url')})")
 def new_candidates(spark: SparkSession, d: str) -> DataFrame:
     """Candidates that the store lacks."""
-    c = table(spark, d, "candidates").select("source_name", urls.normalize_url(F.col("url")).alias("url_key")).distinct()
-    a = table(spark, d, "articles").select("source_name", urls.normalize_url(F.col("article_url")).alias("url_key"))
-    return c.join(a, ["source_name", "url_key"], "left_anti")
+    c, a = _by_address(spark, d)
+    return c.join(a, ["source_name", "address"], "left_anti")
 
 
-@query("SELECT source_name, count(*) AS n_known FROM (SELECT DISTINCT source_name, " + _URL("url") + " AS url_key FROM candidates) c WHERE EXISTS (SELECT 1 FROM articles a WHERE a.source_name = c.source_name AND " + _URL("a.article_url") + " = c.url_key) GROUP BY source_name")
+@query(f"SELECT source_name, count(DISTINCT {_LAST('url')}) AS n_known FROM candidates c WHERE EXISTS (SELECT 1 FROM articles a WHERE a.source_name = c.source_name AND {_LAST('a.article_url')} = {_LAST('c.url')}) GROUP BY source_name")
 def known_candidates(spark: SparkSession, d: str) -> DataFrame:
-    c = table(spark, d, "candidates").select("source_name", urls.normalize_url(F.col("url")).alias("url_key")).distinct()
-    a = table(spark, d, "articles").select("source_name", urls.normalize_url(F.col("article_url")).alias("url_key"))
-    return c.join(a, ["source_name", "url_key"], "left_semi").groupBy("source_name").agg(F.count(F.lit(1)).alias("n_known"))
+    c, a = _by_address(spark, d)
+    return c.join(a, ["source_name", "address"], "left_semi").groupBy("source_name").agg(F.count(F.lit(1)).alias("n_known"))
+
+
+@query("SELECT source_name, count(DISTINCT source_article_id) AS n_known FROM candidates c WHERE EXISTS (SELECT 1 FROM articles a WHERE a.source_name = c.source_name AND a.source_article_id = c.source_article_id) GROUP BY source_name")
+def known_ids(spark: SparkSession, d: str) -> DataFrame:
+    """Candidates whose id the store has."""
+    key = ["source_name", "source_article_id"]
+    c = table(spark, d, "candidates").select(*key).distinct()
+    return c.join(table(spark, d, "articles").select(*key), key, "left_semi").groupBy("source_name").agg(F.count(F.lit(1)).alias("n_known"))
 
 
 @query("SELECT source_name, source_article_id, arg_max(id, id) AS id, arg_max(title, id) AS title, arg_max(category, id) AS category, arg_max(content_hash, id) AS content_hash, count(*) AS n_versions FROM (SELECT id, source_name, source_article_id, coalesce(title, '') AS title, coalesce(category, '') AS category, coalesce(content_hash, '') AS content_hash FROM articles) GROUP BY source_name, source_article_id")
@@ -113,23 +130,23 @@ def upserted_articles(spark: SparkSession, d: str) -> DataFrame:
     return merge.merge_versions(a, ["source_name", "source_article_id"], ["id"], [], ["id", "title", "category", "content_hash"])
 
 
-@query("SELECT source_name, source_article_id, max(id) AS id, CASE WHEN count(*) > 1 THEN 'updated' ELSE 'unchanged' END AS action FROM articles WHERE source_article_id IS NOT NULL AND source_name IS NOT NULL GROUP BY source_name, source_article_id")
+@query("SELECT source_name, source_article_id, max(id) AS id, CASE WHEN count(*) > 1 THEN 'updated' ELSE 'unchanged' END AS action FROM articles GROUP BY source_name, source_article_id")
 def upsert_actions(spark: SparkSession, d: str) -> DataFrame:
     """First deliveries as the store, all later ones merged into it."""
-    a = table(spark, d, "articles").select("source_name", "source_article_id", "id").where("source_article_id is not null and source_name is not null")
+    a = table(spark, d, "articles").select("source_name", "source_article_id", "id")
     key = ["source_name", "source_article_id"]
     base = merge.keep_first(a, key, ["id"])
     return merge.upsert(base, a.join(base.select("id"), "id", "left_anti").select(*base.columns), key, ["id"])
 
 
-_MSG = "(epoch_us(fetched_at)::VARCHAR || ' ' || id)"
+_MSG = "(coalesce(epoch_us(fetched_at), 0)::VARCHAR || ' ' || id)"
 
 
-@query(f"SELECT source_key, source_item_id, arg_min(created_at, {_MSG}) AS created_us, arg_min(body, {_MSG}) AS body_text, arg_max(published, {_MSG}) AS published_at, arg_max(url, {_MSG}) AS origin_url, count(*) AS n_versions FROM (SELECT id, source_key, source_item_id, fetched_at, coalesce(epoch_us(created_at), -1) AS created_at, coalesce(body_text, '') AS body, coalesce(published_at, '') AS published, coalesce(origin_url, '') AS url FROM news WHERE record_kind = 'news' AND fetched_at IS NOT NULL) GROUP BY source_key, source_item_id")
+@query(f"SELECT source_key, source_item_id, arg_min(created_at, {_MSG}) AS created_us, arg_min(body, {_MSG}) AS body_text, arg_max(published, {_MSG}) AS published_at, arg_max(url, {_MSG}) AS origin_url, count(*) AS n_versions FROM (SELECT id, source_key, source_item_id, fetched_at, coalesce(epoch_us(created_at), -1) AS created_at, coalesce(body_text, '') AS body, coalesce(published_at, '') AS published, coalesce(origin_url, '') AS url FROM news WHERE record_kind = 'news') GROUP BY source_key, source_item_id")
 def upserted_messages(spark: SparkSession, d: str) -> DataFrame:
     """Messages delivered again: creation and body of the first delivery, the rest of the last."""
-    n = table(spark, d, "news").where("record_kind = 'news' and fetched_at is not null").select(
-        "source_key", "source_item_id", F.concat_ws(" ", us(F.col("fetched_at")).cast("string"), "id").alias("o"), F.coalesce(us(F.col("created_at")), F.lit(-1)).alias("created_us"),
+    n = table(spark, d, "news").where("record_kind = 'news'").select(
+        "source_key", "source_item_id", F.concat_ws(" ", F.coalesce(us(F.col("fetched_at")), F.lit(0)).cast("string"), "id").alias("o"), F.coalesce(us(F.col("created_at")), F.lit(-1)).alias("created_us"),
         *[F.coalesce(c, F.lit("")).alias(c) for c in ("body_text", "published_at", "origin_url")],
     )
     return merge.merge_versions(n, ["source_key", "source_item_id"], ["o"], ["created_us", "body_text"], ["published_at", "origin_url"])
@@ -163,9 +180,14 @@ def page_signatures(spark: SparkSession, d: str) -> DataFrame:
     return _page_signatures(spark, d)
 
 
-@query(f"SELECT source_name, page, coalesce(signature = lag(signature) OVER (PARTITION BY source_name ORDER BY page), false) AS repeated FROM ({_PAGES})")
+_THIRDS = f"SELECT source_name, page, CASE WHEN page % 4 = 2 THEN '' ELSE left(signature, 20) END AS signature FROM ({_PAGES})"
+
+
+@query(f"SELECT source_name, page, coalesce(signature <> '' AND signature = last_value(nullif(signature, '') IGNORE NULLS) OVER (PARTITION BY source_name ORDER BY page ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS repeated FROM ({_THIRDS})")
 def repeated_pages(spark: SparkSession, d: str) -> DataFrame:
-    return merge.repeated_signatures(_page_signatures(spark, d), "source_name", "page", "signature").select("source_name", "page", "repeated")
+    """Pages like the last one before them that isn't empty; short signatures, and some pages empty, so that both happen."""
+    p = _page_signatures(spark, d).withColumn("signature", F.when(F.col("page") % 4 == 2, "").otherwise(F.left("signature", F.lit(20))))
+    return merge.repeated_signatures(p, "source_name", "page", "signature").select("source_name", "page", "repeated")
 
 
 @query("SELECT id, source_key, max(try_cast(source_item_id AS BIGINT)) OVER (PARTITION BY source_key ORDER BY fetched_at, id ROWS UNBOUNDED PRECEDING) AS checkpoint FROM news WHERE record_kind = 'news'")
@@ -188,8 +210,8 @@ def newest_by_time(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT source_name, source_article_id, (row_number() OVER (PARTITION BY source_name ORDER BY source_article_id, id) - 1) // 250 AS chunk, id FROM articles")
 def backfill_chunks(spark: SparkSession, d: str) -> DataFrame:
-    w = Window.partitionBy("source_name").orderBy(F.col("source_article_id").asc_nulls_last(), "id")
-    return table(spark, d, "articles").select("source_name", "source_article_id", F.floor((F.row_number().over(w) - 1) / 250).alias("chunk"), "id")
+    a = table(spark, d, "articles").select("source_name", "source_article_id", "id").withColumn("nulls", F.col("source_article_id").isNull())
+    return merge.chunks(a, "source_name", ["nulls", "source_article_id", "id"], 250).select("source_name", "source_article_id", "chunk", "id")
 
 
 @query("SELECT 'article' AS kind, id::VARCHAR AS rec_id, coalesce(source_name, '') AS source, coalesce(content_text, '') AS body FROM articles UNION ALL SELECT record_kind, id, coalesce(source_key, ''), coalesce(body_text, '') FROM news")
@@ -228,10 +250,35 @@ def article_texts(spark: SparkSession, d: str) -> DataFrame:
     return a.select("id", text.normalize_space(F.col("title")).alias("title"), text.summarize_text(F.col("content_text")).alias("summary"), text.sha256_text(F.col("content_text")).alias("digest"))
 
 
-@query("SELECT id, CASE WHEN coalesce(article_url, '') <> '' THEN 'url:' || article_url WHEN coalesce(content_hash, '') <> '' THEN 'hash:' || content_hash ELSE 'sim:' || sha256(lower(replace(coalesce(title, ''), 'İ', 'i' || chr(775))) || '|' || coalesce(published_at, '')) END AS dedupe_key FROM articles")
+_FORM = lambda x: f"replace(url_encode(url_decode(replace({x}, '+', ' '))), '%20', '+')"
+
+
+def _canon(u: str) -> str:
+    """SQL of a canonical address."""
+    x = f"regexp_replace(coalesce({_NORM(u)}, ''), '#.*$', '')"
+    base, query_ = f"split_part({x}, '?', 1)", f"substr({x}, length(split_part({x}, '?', 1)) + 2)"
+    host = f"regexp_extract({base}, '^([A-Za-z][A-Za-z0-9+.-]*://[^/]*)', 1)"
+    pairs = f"list_filter(str_split({query_}, '&'), lambda p: p <> '' AND NOT regexp_matches(lower(url_decode(split_part(p, '=', 1))), '^(utm_|fbclid|gclid)'))"
+    kept = f"array_to_string(list_transform({pairs}, lambda p: {_FORM("split_part(p, '=', 1)")} || '=' || {_FORM("substr(p, length(split_part(p, '=', 1)) + 2)")}), '&')"
+    return f"rtrim(lower({host}) || substr({base}, length({host}) + 1) || CASE WHEN {kept} <> '' THEN '?' || {kept} ELSE '' END, '/')"
+
+
+_LOWER = lambda x: f"lower(replace({x}, 'İ', 'i' || chr(775)))"
+
+
+@query(f"SELECT id, CASE WHEN {_canon('article_url')} <> '' THEN 'url:' || {_canon('article_url')} WHEN coalesce(content_hash, '') <> '' THEN 'hash:' || content_hash ELSE 'sim:' || sha256({_LOWER('coalesce(' + _NORM('title') + ", '')")} || '|' || coalesce(try_cast(left(fetched_at, 10) AS DATE)::VARCHAR, '')) END AS dedupe_key FROM articles")
 def dedupe_keys(spark: SparkSession, d: str) -> DataFrame:
+    """Keys by canonical address, else by hash, else by title and day."""
     a = table(spark, d, "articles")
-    return a.select("id", text.dedupe_key(F.col("article_url"), F.col("content_hash"), F.col("title"), F.col("published_at")).alias("dedupe_key"))
+    day = F.try_to_date(F.when(F.left("fetched_at", F.lit(10)).rlike(r"^\d{4}-\d{2}-\d{2}$"), F.left("fetched_at", F.lit(10))), "yyyy-MM-dd")
+    return a.select("id", text.dedupe_key(urls.canonicalize_url(F.col("article_url")), F.col("content_hash"), F.col("title"), day).alias("dedupe_key"))
+
+
+@query(f"SELECT seq, {_canon("u")} AS canonical FROM (SELECT seq, split_part(url, '#', 1) || '?b=&q=' || coalesce(title, '') || '&UTM_x=1&z=1%20a+b&' AS u FROM candidates)")
+def canonical_urls(spark: SparkSession, d: str) -> DataFrame:
+    """Canonical addresses of searches for the candidates' titles."""
+    u = F.concat(F.substring_index("url", "#", 1), F.lit("?b=&q="), F.coalesce("title", F.lit("")), F.lit("&UTM_x=1&z=1%20a+b&"))
+    return table(spark, d, "candidates").select("seq", urls.canonicalize_url(u).alias("canonical"))
 
 
 @query("SELECT id, CASE WHEN h = 0 THEN 1 ELSE h END AS stable_id FROM (SELECT id, (('0x' || substr(sha256(coalesce(article_url, '')), 1, 16))::UBIGINT % 9223372036854775808)::BIGINT AS h FROM articles)")
@@ -255,13 +302,22 @@ def galleries(spark: SparkSession, d: str) -> DataFrame:
 _BODY = "coalesce(" + _NORM("body_text") + ", '')"
 
 
-@query(f"SELECT id, CASE WHEN {_BODY} = '' THEN '' WHEN split_part({_BODY}, '. ', 1) <> '' THEN split_part({_BODY}, '. ', 1) ELSE left({_BODY}, 160) END AS title, concat_ws(',', CASE WHEN {_BODY} = '' THEN 'body_text' END, CASE WHEN coalesce(published_at, '') = '' THEN 'published_at' END, CASE WHEN coalesce(origin_url, '') = '' THEN 'origin_url' END) AS missing_fields, CASE WHEN {_BODY} = '' THEN 'raw_only' WHEN coalesce(published_at, '') = '' OR coalesce(origin_url, '') = '' THEN 'partial_success' ELSE 'success' END AS parse_status FROM news WHERE record_kind = 'news'")
+_MEDIA = "CASE WHEN id LIKE '%a' THEN 'MessageMediaPhoto' ELSE '' END"
+_TITLE = f"CASE WHEN {_BODY} = '' THEN CASE WHEN {_MEDIA} <> '' THEN '[telegram media post] ' || {_MEDIA} ELSE '' END WHEN split_part({_BODY}, '. ', 1) <> '' THEN split_part({_BODY}, '. ', 1) ELSE left({_BODY}, 160) END"
+_FULL = f"CASE WHEN {_BODY} = '' AND {_MEDIA} <> '' THEN '[telegram media post without caption] ' || {_MEDIA} ELSE {_BODY} END"
+
+
+@query(
+    "SELECT id, title, body_text, concat_ws(',', CASE WHEN title = '' THEN 'title' END, CASE WHEN body_text = '' THEN 'body_text' END) AS missing_fields, "
+    "concat_ws(',', CASE WHEN title = '' THEN 'title_missing' END, CASE WHEN body_text = '' THEN 'body_missing' END, CASE WHEN no_caption THEN 'media_without_caption' END) AS quality_flags, "
+    "CASE WHEN title = '' AND body_text = '' THEN 'raw_only' WHEN title = '' OR body_text = '' THEN 'partial_success' ELSE 'success' END AS parse_status, sha256(title || chr(10) || body_text) AS content_hash "
+    f"FROM (SELECT id, {_TITLE} AS title, {_FULL} AS body_text, {_MEDIA} <> '' AND {_BODY} = '' AS no_caption FROM news WHERE record_kind = 'news')"
+)
 def normalized_messages(spark: SparkSession, d: str) -> DataFrame:
+    """Messages as records; those whose id ends in ``a`` stand for posts with a photo."""
     n = table(spark, d, "news").where("record_kind = 'news'")
-    body, blank = text.normalize_whitespace(F.col("body_text")), lambda c: F.coalesce(c, F.lit("")) == ""
-    missing = F.concat_ws(",", F.when(body == "", "body_text"), F.when(blank("published_at"), "published_at"), F.when(blank("origin_url"), "origin_url"))
-    status = F.when(body == "", "raw_only").when(blank("published_at") | blank("origin_url"), "partial_success").otherwise("success")
-    return n.select("id", text.message_title(F.lit(""), F.col("body_text"), F.lit(None).cast("string")).alias("title"), missing.alias("missing_fields"), status.alias("parse_status"))
+    media = F.when(F.col("id").endswith("a"), "MessageMediaPhoto").otherwise("")
+    return merge.normalized_payload(n, "body_text", media, F.lit("")).select("id", "title", "body_text", "missing_fields", "quality_flags", "parse_status", "content_hash")
 
 
 @query("SELECT n.id, n.source_key FROM news n JOIN news s ON s.record_kind = 'source' AND s.source_key = n.source_key AND s.desired_state = 'running' WHERE n.record_kind = 'news' AND try_cast(n.source_item_id AS BIGINT) > s.last_message_id")
@@ -302,14 +358,16 @@ def hourly_events(spark: SparkSession, d: str) -> DataFrame:
     return e.groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n")).select(us(F.col("w.start")).alias("start_us"), "event_type", "n")
 
 
-_AZ = "(yanvar|fevral|mart|aprel|may|iyun|iyul|avqust|sentyabr|oktyabr|noyabr|dekabr)"
+_AZ = "|".join([*dates.AZ_MONTHS, dates.AUGUST])
+_MONTHS = "MAP {" + ", ".join(f"'{n}': '{i:02d}'" for i, n in [*enumerate(dates.AZ_MONTHS, 1), (8, dates.AUGUST)]) + "}"
+_DAY = r"(\d{1,2})\s+([A-Za-zəöüğçşıƏÖÜĞÇŞİ]+)(?:\s+(\d{4}))?"
+_DPART = lambda k: f"regexp_extract(list_date_text, '{_DAY}', {k})"
 
 
-@query(f"SELECT seq, CASE WHEN regexp_matches(list_date_text, '^\\d{{1,2}} {_AZ} \\d{{4}}$') THEN coalesce(try_cast(regexp_extract(list_date_text, ' (\\d{{4}})$', 1) || '-' || lpad(list_position(['" + "','".join(dates.AZ_MONTHS) + f"'], regexp_extract(list_date_text, '{_AZ}', 1))::VARCHAR, 2, '0') || '-' || lpad(regexp_extract(list_date_text, '^(\\d{{1,2}})', 1), 2, '0') AS DATE)::VARCHAR, '') ELSE '' END AS list_date FROM candidates")
+@query(f"SELECT seq, coalesce(try_cast(CASE WHEN {_DPART(3)} = '' THEN '2026' ELSE {_DPART(3)} END || '-' || {_MONTHS}[replace(replace({_DPART(2)}, 'İ', 'i'), 'I', 'ı').lower()] || '-' || lpad({_DPART(1)}, 2, '0') AS DATE)::VARCHAR, '') AS list_date FROM candidates".replace("replace(replace(" + _DPART(2) + ", 'İ', 'i'), 'I', 'ı').lower()", "lower(replace(replace(" + _DPART(2) + ", 'İ', 'i'), 'I', 'ı'))"))
 def listing_dates(spark: SparkSession, d: str) -> DataFrame:
-    """Dates of listings that name a year."""
-    whole = F.col("list_date_text").rlike(rf"^\d{{1,2}} {_AZ} \d{{4}}$")
-    return table(spark, d, "candidates").select("seq", F.when(whole, dates.azerbaijani_date(F.col("list_date_text"), F.lit(1970))).otherwise("").alias("list_date"))
+    """Dates of listings; those without a year are of 2026, the year of the run."""
+    return table(spark, d, "candidates").select("seq", dates.azerbaijani_date(F.col("list_date_text"), F.lit(2026)).alias("list_date"))
 
 
 _IDENT = "substr(source_key, 10)"

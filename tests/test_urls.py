@@ -4,57 +4,33 @@ from pyspark.sql import functions as F
 
 from presslake.functions import urls
 
-GOLDEN = [
-    ("article_id", "sonxeber.az", "https://sonxeber.az/391815/s-l-u-g", 391815),
-    ("article_slug", "sonxeber.az", "https://sonxeber.az/391869/s-l-u-g", "s-l-u-g"),
-    ("article_id", "1news.az", "https://1news.az/az/news/20260409120640547-S-l-u-g", 20260409120640547),
-    ("article_slug", "1news.az", "https://1news.az/az/news/20260409120640547-S-l-u-g", "S-l-u-g"),
-    ("article_id", "oxu.az", "https://oxu.az/1515150", 1515150),
-    ("article_id", "metbuat.az", "https://metbuat.az/news/1550585/s-l-u-g.html", 1550585),
-    ("article_slug", "metbuat.az", "https://metbuat.az/news/1550585/s-l-u-g.html", "s-l-u-g"),
-    ("article_id", "azertag.az", "https://special.azertag.az/az/xeber/4111987", 4111987),
-    ("article_id", "azerbaijan.az", "https://azerbaijan.az/news/18906", 18906),
-    ("article_id", "axar.az", "https://axar.az/news/planet/1079434.html", 1079434),
-    ("article_category", "axar.az", "https://axar.az/news/planet/1079434.html", "planet"),
-    ("article_id", "apa.az", "https://apa.az/hadise/s-l-u-g-954015", 954015),
-    ("article_slug", "apa.az", "https://apa.az/hadise/s-l-u-g-954015", "s-l-u-g"),
-    ("article_category", "apa.az", "https://apa.az/xarici-siyaset/s-l-u-g-954014", "xarici-siyaset"),
-    ("article_id", "iqtisadiyyat.az", "https://iqtisadiyyat.az/az/post/s-2100-n-80-ni-r-170995", 170995),
-    ("article_slug", "iqtisadiyyat.az", "https://iqtisadiyyat.az/az/post/s-2100-n-80-ni-r-170995", "s-2100-n-80-ni-r"),
-    ("article_id", "milli.az", "https://news.milli.az/society/1323670.html", 1323670),
-    ("article_id", "milli.az", "https://news.milli.az/tag/2606.html", None),
-    ("article_category", "milli.az", "https://news.milli.az/tag/2606.html", ""),
-    ("article_id", "report.az", "report.az/2844552", 2844552),
-    ("article_id", "yenixeber.az", "https://yenixeber.az/s-l-u-g-149698", 149698),
-    ("article_id", "xeberler.az", "https://xeberler.az/new/details/ayna:-s-l--38665.htm", 38665),
-    ("article_slug", "xeberler.az", "https://xeberler.az/new/details/ayna:-s-l--38665.htm", "ayna:-s-l"),
-    ("article_id", "siyasetinfo.az", "https://siyasetinfo.az/8825", 8825),
-    ("article_id", "yeniazerbaycan.com", "https://www.yeniazerbaycan.com/Din_e140104_az.html", 140104),
-    ("article_category", "yeniazerbaycan.com", "https://www.yeniazerbaycan.com/Din_e140104_az.html", "Din"),
-    ("article_id", "islam.az", "https://islam.az/70144/s-l-u-g/", 70144),
-    ("article_slug", "islamazeri.com", "https://www.islamazeri.com/slug9426.html", "slug9426"),
-    ("article_id", "islamazeri.com", "https://x.com/image/haber/420x280/slug9426-8667.jpg", 8667),
-    ("article_id", "sia.az", "https://sia.az/az/news/politics/1329914.html", 1329914),
-    ("article_id", "ikisahil.az", "https://ikisahil.az/post/637899-s-l-34-il", 637899),
-    ("article_slug", "ikisahil.az", "https://ikisahil.az/post/6-sayli-s-l", "6-sayli-s-l"),
-    ("article_slug", "azxeber.com", "https://azxeber.com/az/s-l-u-g/siyaset/", "s-l-u-g"),
-    ("article_category", "azxeber.com", "https://azxeber.com/az/s-l-u-g/siyaset/", "siyaset"),
-]
-INVALID = [
-    ("yenixeber.az", "https://yenixeber.az/xeberler"), ("1news.az", "https://1news.az/az/lenta/"), ("sia.az", "https://sia.az/az/latest/"), ("islam.az", "https://islam.az/cat/xeberler/"),
-    ("ikisahil.az", "https://ikisahil.az/post/637857-share"), ("azxeber.com", "https://azxeber.com/az/xeberler/"), ("axar.az", "https://axar.az/news/planet/"), ("apa.az", "https://apa.az/all-news"),
+# One row for each shape: portal, path, id, slug, category.
+SHAPES = [
+    ("sonxeber.az", "/700001/alma-bagi", 700001, "alma-bagi", ""), ("sonxeber.az", "/700001/", 700001, "", ""), ("sonxeber.az", "/70001/alma", None, "", ""),
+    ("oxu.az", "/en/70001/", 70001, "", ""), ("oxu.az", "/701", None, "", ""), ("report.az", "/70002/", 70002, "", ""), ("azertag.az", "/az/xeber/71", 71, "", ""), ("azertag.az", "/ru/xeber/71", None, "", ""),
+    ("metbuat.az", "/news/72/alma.html", 72, "alma", ""), ("metbuat.az", "/news/72/alma/", 72, "alma", ""), ("metbuat.az", "/news/72", 72, "", ""),
+    ("yenixeber.az", "/alma-2-bag-73/", 73, "alma-2-bag", ""), ("yenixeber.az", "/bolme/alma-73", None, "", ""),
+    ("teleqraf.az", "/news/bag/74.html", 74, "", "bag"), ("teleqraf.az", "/news/bag/74.html/", 74, "", "bag"), ("axar.az", "/news/bag/75.html/", 75, "", "bag"), ("axar.az", "/news/bag/", None, "", ""),
+    ("milli.az", "/bag/76.html/", 76, "", "bag"), ("milli.az", "/tag/76.html", None, "", ""), ("azerbaijan.az", "/news/77/", 77, "", ""),
+    ("ikisahil.az", "/post/70078-alma-bagi", 70078, "alma-bagi", ""), ("ikisahil.az", "/post/7-alma", None, "7-alma", ""), ("ikisahil.az", "/post/70078-share", None, "", ""),
+    ("azxeber.com", "/az/alma-bagi/bag/", None, "alma-bagi", "bag"), ("azxeber.com", "/az/bag/", None, "", ""),
+    ("apa.az", "/bag/alma-bagi-79", 79, "alma-bagi", "bag"), ("apa.az", "/bag/-79", -79, "", "bag"), ("apa.az", "/bag/79/", 79, "", "bag"), ("apa.az", "/bag", None, "", ""),
+    ("xeberler.az", "/new/details/alma:-bag--80.htm", 80, "alma:-bag", ""), ("xeberler.az", "/new/details/alma--80.htm/", 80, "alma", ""), ("siyasetinfo.az", "/810/", 810, "", ""), ("siyasetinfo.az", "/81", None, "", ""),
+    ("yeniazerbaycan.com", "/Bag_e82_az.html/", 82, "", "Bag"), ("yeniazerbaycan.com", "/Bag_alma_e82_az.html", None, "", ""), ("islam.az", "/8300/alma/", 8300, "alma", ""), ("islam.az", "/830/alma/", None, "", ""),
+    ("islamazeri.com", "/image/haber/10x20/alma-84.jpeg", 84, "", ""), ("islamazeri.com", "/IMAGE/haber/alma-84.JPG", 84, "", ""), ("islamazeri.com", "/alma84.html/", None, "alma84", ""),
+    ("sia.az", "/az/news/bag/85.html/", 85, "", "bag"), ("sia.az", "/az/latest/85.html", None, "", ""), ("1news.az", "/az/news/20260101000000001-Alma-bag", 20260101000000001, "Alma-bag", ""), ("1news.az", "/az/news/2026", None, "", ""),
+    ("iqtisadiyyat.az", "/az/post/alma-12-86/", 86, "alma-12", ""), ("nowhere.az", "/87", None, "", ""),
 ]
+ARTICLES = {("azxeber.com", "/az/alma-bagi/bag/"), ("islamazeri.com", "/alma84.html/"), ("ikisahil.az", "/post/7-alma")}
 
 
 def test_portal_paths(spark):
-    df = spark.createDataFrame([(i, *g[:3]) for i, g in enumerate(GOLDEN)], "i int, fn string, s string, u string")
-    got = {r.i: r for r in df.select("i", urls.article_id(F.col("s"), F.col("u")).alias("article_id"), urls.article_slug(F.col("s"), F.col("u")).alias("article_slug"), urls.article_category(F.col("s"), F.col("u")).alias("article_category")).collect()}
-    assert [got[i][g[0]] for i, g in enumerate(GOLDEN)] == [g[3] for g in GOLDEN]
-
-
-def test_invalid_addresses(spark):
-    df = spark.createDataFrame(INVALID, "s string, u string")
-    assert [r.v for r in df.select(urls.is_article_url(F.col("s"), F.col("u")).alias("v")).collect()] == [False] * len(INVALID)
+    df = spark.createDataFrame([(i, s, f"https://www.{s}{path}?q=1#t") for i, (s, path, *_) in enumerate(SHAPES)], "i int, s string, u string")
+    s, u = F.col("s"), F.col("u")
+    got = {r.i: r for r in df.select("i", urls.article_id(s, u).alias("id"), urls.article_slug(s, u).alias("slug"), urls.article_category(s, u).alias("category"), urls.is_article_url(s, u).alias("valid")).collect()}
+    for i, (portal, path, *want) in enumerate(SHAPES):
+        assert [got[i].id, got[i].slug, got[i].category] == want, (portal, path)
+        assert got[i].valid == (want[0] is not None or (portal, path) in ARTICLES), (portal, path)
 
 
 @pytest.mark.parametrize(("given", "want"), [
@@ -65,7 +41,7 @@ def test_normalize_url(spark, given, want):
 
 
 @pytest.mark.parametrize(("given", "want"), [
-    ("HTTPS://A.az/X?utm_source=q&b=2&fbclid=1#z", "https://a.az/X?b=2"), ("https://a.az/?gclid=3", "https://a.az"), (None, ""),
+    ("HTTPS://A.az/X?utm_source=q&b=2&fbclid=1#z", "https://a.az/X?b=2"), ("https://a.az/?gclid=3", "https://a.az"), (None, ""), ("https://B.az/y?c=&d=2", "https://b.az/y?c=&d=2"), ("http://b.az/y?c=1 2&%75tm_x=1&d=%C3%BC*~", "http://b.az/y?c=1+2&d=%C3%BC%2A~"), ("http://b.az/y?c&&%zz", "http://b.az/y?c=&%25zz="),
 ])
 def test_canonicalize_url(spark, given, want):
     assert one(spark, urls.canonicalize_url(F.lit(given).cast("string"))) == want
@@ -73,7 +49,7 @@ def test_canonicalize_url(spark, given, want):
 
 @pytest.mark.parametrize(("base", "url", "want"), [
     ("https://a.az/x/y", "z", "https://a.az/x/z"), ("https://a.az/x/y", "/z", "https://a.az/z"), ("https://a.az/x/y", "//b.az/z", "https://b.az/z"),
-    ("https://a.az/x/y/w", "../z", "https://a.az/x/z"), ("https://a.az/x", "?q", "https://a.az/x?q"), ("https://a.az", "z", "https://a.az/z"), ("https://a.az/x", "", ""), ("https://a.az/x", "https://c.az/", "https://c.az/"),
+    ("https://a.az/x/y/w", "../z", "https://a.az/x/z"), ("https://a.az/x", "?q", "https://a.az/x?q"), ("https://a.az", "z", "https://a.az/z"), ("https://a.az/x", "", ""), ("https://a.az/x", "https://c.az/", "https://c.az/"), ("https://a.az/b/c/d/e/f/g/h/i", "../../../../../../../z?q=../x", "https://a.az/z?q=../x"), ("https://a.az/b/c", "../../../z", "https://a.az/z"), ("https://a.az/b/c", "./z/.", "https://a.az/b/z/"), ("https://a.az/b/c", "..", "https://a.az/"),
 ])
 def test_make_absolute(spark, base, url, want):
     assert one(spark, urls.make_absolute_url(F.lit(base), F.lit(url))) == want
@@ -86,4 +62,6 @@ def test_channel_addresses(spark):
     assert one(spark, urls.source_key(F.lit("https://t.me/Chan/"))) == "telegram:chan"
     assert one(spark, urls.source_key(F.lit("-100777"))) == "telegram:peer:-100777"
     assert one(spark, urls.extract_urls(F.lit("a https://x.y/z b http://q https://x.y/z"))) == ["https://x.y/z", "http://q"]
+    assert one(spark, urls.unify_host(F.lit("http://m.a.az/x?y"), ["m.a.az", "www.a.az"], "https://a.az")) == "https://a.az/x?y"
+    assert one(spark, urls.unify_host(F.lit("http://b.az/x"), ["m.a.az"], "https://a.az")) == "http://b.az/x"
     assert one(spark, urls.looks_like_image(F.lit("https://a/b.JPG?x=1"))) is True
