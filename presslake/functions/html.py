@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -68,6 +71,50 @@ def js_scalar(page: Column, key: str) -> Column:
     return first_non_empty(F.regexp_extract(page, rf"['\"]{key}['\"]\s*:\s*['\"]([^'\"]*)['\"]", 1), F.regexp_extract(page, rf"\b{key}\s*=\s*['\"]?([\w.-]+)", 1))
 
 
+def js_number(page: Column, key: str) -> Column:
+    """``"key": 12`` in a script, '' if there is none."""
+    return F.coalesce(F.regexp_extract(page, rf"['\"]{key}['\"]\s*:\s*(\d+)", 1), F.lit(""))
+
+
+def element_by_class(page: Column, tag: str, name: str) -> Column:
+    """Text of the first element of a kind whose class is ``name``, white space in order; '' if there is none."""
+    inner = F.regexp_extract(page, rf'(?is)<{tag} class="{name}">(.*?)</{tag}>', 1)
+    return F.coalesce(F.trim(F.regexp_replace(inner, r"\s+", " ")), F.lit(""))
+
+
+def listing_cards(page: Column, pattern: str) -> Column:
+    """array<struct<href, label>> of the cards of a listing, in order; the pattern has a group for each."""
+    return F.arrays_zip(F.regexp_extract_all(page, F.lit(pattern), F.lit(1)).alias("href"), F.regexp_extract_all(page, F.lit(pattern), F.lit(2)).alias("label"))
+
+
+def zipped_sitemap(xml: Column) -> Column:
+    """array<struct<loc, lastmod>> of a sitemap by position: a missing lastmod shifts those after it, the last ones are null."""
+    part = lambda tag: F.regexp_extract_all(xml, F.lit(rf"(?is)<{tag}>\s*(.*?)\s*</{tag}>"), F.lit(1))
+    locs = part("loc")
+    return F.slice(F.arrays_zip(locs.alias("loc"), part("lastmod").alias("lastmod")), F.lit(1), F.size(locs))
+
+
+def first_image(tags: Column, base: Column) -> Column:
+    """The first address of a list of attributes that is no inline picture, made absolute; '' if there is none."""
+    from presslake.functions.urls import make_absolute_url
+
+    wanted = F.filter(F.transform(tags, normalize_whitespace), lambda t: (t != "") & ~t.startswith("data:image"))
+    return make_absolute_url(base, F.coalesce(F.try_element_at(wanted, F.lit(1)), F.lit("")))
+
+
+def image_urls(page: Column) -> Column:
+    """Addresses of all images of a page, by whichever attribute holds them, each once."""
+    return F.array_distinct(F.regexp_extract_all(page, F.lit(r"(?is)<img\s[^>]*?(?:data-src|data-original|data-lazy-src|src)\s*=\s*[\"']([^\"']+)[\"']"), F.lit(1)))
+
+
+def article_of(script: Column, kind: str = "NewsArticle") -> Column:
+    """The first object of exactly this type at the top, in a list, or in a graph, as JSON; null if there is none."""
+    top = F.coalesce(F.get_json_object(script, "$['@graph']"), script)
+    items = F.when(F.ltrim(top).startswith("["), F.from_json(top, "array<string>")).otherwise(F.array(top))
+    inner = F.flatten(F.transform(items, lambda x: F.coalesce(F.from_json(F.get_json_object(x, "$['@graph']"), "array<string>"), F.array(x))))
+    return F.try_element_at(F.filter(inner, lambda x: F.get_json_object(x, "$['@type']") == kind), F.lit(1))
+
+
 def breadcrumbs(script: Column) -> Column:
     """Names of a BreadcrumbList, from the outermost."""
     names = F.coalesce(F.get_json_object(script, "$.itemListElement[*].name"), F.get_json_object(script, "$.itemListElement[*].item.name"))
@@ -75,13 +122,31 @@ def breadcrumbs(script: Column) -> Column:
     return F.coalesce(F.from_json(listed, "array<string>"), F.array().cast("array<string>"))
 
 
-def nested_of_type(script: Column, kind: str, depth: int = 6) -> Column:
-    """The first object of a type at any place down to ``depth``, as JSON; null if there is none."""
-    level, found = F.array(script), []
-    for _ in range(depth):
-        objects = F.filter(level, lambda x: F.lower(F.get_json_object(x, "$['@type']")) == kind.lower())
-        found.append(F.try_element_at(objects, F.lit(1)))
-        # The values of objects and the elements of lists, one level further down.
-        down = F.transform(level, lambda x: F.when(x.startswith("["), F.from_json(x, "array<string>")).otherwise(F.map_values(F.from_json(x, "map<string,string>"))))
-        level = F.filter(F.flatten(F.filter(down, lambda a: a.isNotNull())), lambda x: x.isNotNull() & x.rlike(r"^\s*[\[{]"))
-    return F.coalesce(*found)
+def nested_of_type(script: Column, kind: str) -> Column:
+    """The first object of a type (in any case) at any place and depth, in document order, as JSON; null if there is none or no JSON.
+
+    Depth has no bound, so this is the one expression that leaves the JVM, in Arrow batches.
+    """
+    wanted = kind.lower()
+
+    def first(text: str | None) -> str | None:
+        try:
+            stack = [json.loads(text or "null")]
+        except ValueError:
+            return None
+        while stack:
+            x = stack.pop()
+            if isinstance(x, dict):
+                types = x.get("@type")
+                if wanted in [t.lower() for t in (types if isinstance(types, list) else [types]) if isinstance(t, str)]:
+                    return json.dumps(x, ensure_ascii=False)
+                stack += reversed(list(x.values()))
+            elif isinstance(x, list):
+                stack += reversed(x)
+        return None
+
+    def find(texts: pd.Series) -> pd.Series:
+        return pd.Series([first(t) for t in texts], dtype=object)
+
+    find.__annotations__ = {"texts": pd.Series, "return": pd.Series}
+    return F.pandas_udf(find, "string")(script)
