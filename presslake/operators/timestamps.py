@@ -3,10 +3,11 @@
 Every value is reduced to a *shape mask*: digits become ``9``, letters ``A``, the rest stays. A mask fixes the
 position of every field, so it is mapped to a parser once (and cached), and all values of one mask are converted
 together by numpy slices. Wall times go through zone transition tables that are built on the driver from the tz
-database, carry its version and are shipped with the plan, so that every executor converts alike.
+database and shipped with the plan, so that every executor converts alike whatever its own database is; the version of
+the database is a column of the result where the caller asks for it.
 
 Defined results
-    null, '', blank, longer than ``MAX_LENGTH`` code points .. null
+    null, '', blank, over ``MAX_LENGTH`` code points when trimmed .. null (no known form is so long)
     no known mask, unknown month or zone word ............... null
     bare dates, words, impossible dates or times ............ null
     1970-01-01T00:00:00Z .................................... null (a default value, no time)
@@ -18,6 +19,7 @@ Defined results
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterable, Iterator
 from datetime import datetime, timedelta, timezone
@@ -129,13 +131,20 @@ def zone_tables(names: tuple[str, ...]) -> dict[str, tuple[np.ndarray, np.ndarra
 
 
 def tz_version() -> str:
-    """Version of the tz database the tables are built from."""
-    try:
-        import tzdata
+    """Version of the tz database the tables are built from: of the system's files where there are any, as zoneinfo prefers them."""
+    import zoneinfo
 
-        return tzdata.IANA_VERSION
-    except ImportError:
-        return "system"
+    for folder in zoneinfo.TZPATH:
+        for name in ("tzdata.zi", "+VERSION"):
+            path = os.path.join(folder, name)
+            if os.path.exists(path):
+                with open(path, encoding="utf-8") as f:
+                    return f.readline().replace("# version", "").strip()
+        if os.path.exists(os.path.join(folder, "UTC")):
+            return f"system {folder}"
+    import tzdata
+
+    return tzdata.IANA_VERSION
 
 
 def _days(y: np.ndarray, m: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -251,11 +260,12 @@ def shape_mask(value: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(value, r"[0-9]", "9"), r"\p{L}", "A")
 
 
-def normalize_timestamps(df: DataFrame, value: str, zone: Column, month_first: Column, zones: Iterable[str], out: str = "utc_us") -> DataFrame:
+def normalize_timestamps(df: DataFrame, value: str, zone: Column, month_first: Column, zones: Iterable[str], out: str = "utc_us", version: str | None = None) -> DataFrame:
     """Add ``out``: UTC microseconds since 1970 (bigint), or null; see the module for defined results.
 
     ``zone`` names the zone of values without one, ``zones`` all names that may occur (a small reference set);
-    ``month_first`` decides dates written with slashes that leave the order open.
+    ``month_first`` decides dates written with slashes that leave the order open. ``version`` names a column for the version
+    of the zone tables that were used.
     """
     ship(df.sparkSession)
     tables = zone_tables(tuple(sorted(set(zones))))
@@ -268,9 +278,10 @@ def normalize_timestamps(df: DataFrame, value: str, zone: Column, month_first: C
     convert.__annotations__ = {"batches": Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]], "return": Iterator[pd.Series]}
     udf = F.pandas_udf(convert, "bigint").asNondeterministic()  # else a filter on the result evaluates it again
     clean = F.regexp_replace(F.col(value), r"^[\s ]+|[\s ]+$", "")
-    clean = F.when((F.length(F.col(value)) <= MAX_LENGTH) & (clean != ""), clean)
+    clean = F.when((F.length(clean) <= MAX_LENGTH) & (clean != ""), clean)
     clean = F.regexp_replace(clean, r"[\s ]", " ")
-    return df.withColumn(out, udf(clean, shape_mask(clean), zone.cast("string"), month_first))
+    done = df.withColumn(out, udf(clean, shape_mask(clean), zone.cast("string"), month_first))
+    return done.withColumn(version, F.lit(tz_version())) if version else done
 
 
 def utc_text(us: Column) -> Column:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
@@ -23,6 +25,7 @@ def build_session(app: str = "presslake", cpus: str | int = "*", driver_memory:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -51,11 +54,17 @@ def ship(spark: SparkSession) -> None:
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage by a reliable checkpoint in the cluster's shared folder.
 
-    ``spark.checkpoint.dir`` is read from the session. Only where it is unset (tests) is a local one made.
+    ``spark.checkpoint.dir`` is read from the session. Only where it is unset and there is no cluster (tests) is a local one made.
     """
     sc = df.sparkSession.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="presslake-ckpt"))
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if not folder:
+            if not (sc.master or "").startswith("local"):
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="presslake-ckpt")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        sc.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
 
 

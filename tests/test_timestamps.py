@@ -36,6 +36,21 @@ def test_empty_table(spark):
     assert ts.normalize_timestamps(df, "v", F.lit("UTC"), F.lit(False), ["UTC"]).count() == 0
 
 
+def test_zone_tables_have_a_version(spark):
+    done = ts.normalize_timestamps(spark.createDataFrame([("2025-03-01 08:15:00" + " " * 500,)], "v string"), "v", F.lit("Asia/Baku"), F.lit(False), ["Asia/Baku"], version="tz").first()
+    assert done.utc_us == 1740802500000000 and done.tz == ts.tz_version() != ""
+
+
+def test_names_beyond_the_broadcast(spark, monkeypatch):
+    from presslake.operators import portal_names
+
+    portals = spark.createDataFrame([(1, "gundemxett.example", "Gündəm Xətti", "Asia/Baku"), (7, "novybereg.example", "Новый Берег", "Europe/Moscow")], "portal_id int, source_name string, display_name string, tz_name string")
+    df = spark.createDataFrame([("gundemxett.example", i, i) for i in range(50)] + [(None, 50, 0), ("x" * 5000, 51, 0)], "n string, salt int, f int")
+    want = sorted(map(str, portal_names.with_portal(df, portals, "n", ["tz_name"]).collect()))
+    monkeypatch.setattr(portal_names, "MAX_BROADCAST_ROWS", 0)
+    assert sorted(map(str, portal_names.with_portal(df, portals, "n", ["tz_name"]).collect())) == want
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.datetimes(datetime(1950, 1, 1), datetime(2090, 1, 1)), st.sampled_from(["Europe/London", "America/New_York", "Europe/Istanbul", "Asia/Baku"]))
 def test_zone_tables_follow_the_first_of_two(wall, zone):
