@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from presslake.session import bounded_rows, ship
+from presslake.session import MAX_BROADCAST_ROWS, bounded_rows, ship
 
 MIN_SHARE = 0.15
 #: Words that make a block running text.
@@ -41,6 +41,8 @@ RUNNING_WORDS = 6
 MIN_PAGES, FRAME_SHARE = 3, 0.01
 #: Lengths of lines are told apart up to so many words.
 MAX_WORDS = 40
+#: Parts of a host whose winning paths are too many to be broadcast.
+SALT = 64
 #: What stands between the entries of a menu.
 SEPARATORS = r"\s*[|/·•»›–—]\s+"
 
@@ -163,9 +165,15 @@ def winning_paths(read: DataFrame, host: str) -> DataFrame:
 def with_story(read: DataFrame, winners: DataFrame, host: str) -> DataFrame:
     """Add ``path`` (the winning path of the page, null if it has none) and ``story`` (its blocks' texts, pointers left out).
 
-    ``winners`` has at most 1 / ``MIN_SHARE`` short paths per host; Spark broadcasts it where it is small.
+    ``winners`` has at most 1 / ``MIN_SHARE`` short paths per host. It is broadcast where the hosts are few; else the pages of a
+    host are spread over parts, each of which gets its paths, so that no host has to fit into one task.
     """
-    x = read.join(winners, F.coalesce(F.col(host), F.lit("")) == F.col("w_host"), "left").drop("w_host")
+    if len(winners.select("w_host").limit(MAX_BROADCAST_ROWS + 1).collect()) <= MAX_BROADCAST_ROWS:
+        x = read.join(F.broadcast(winners), F.coalesce(F.col(host), F.lit("")) == F.col("w_host"), "left").drop("w_host")
+    else:
+        salted = winners.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("w_salt"))
+        x = read.withColumn("salt", F.pmod(F.xxhash64(F.to_json("blocks")), F.lit(SALT)).cast("int"))
+        x = x.join(salted, (F.coalesce(F.col(host), F.lit("")) == F.col("w_host")) & (F.col("salt") == F.col("w_salt")), "left").drop("w_host", "w_salt", "salt")
     has = F.filter("paths", lambda p: F.exists("blocks", lambda b: b["path"] == p))
     x = x.withColumn("path", F.try_element_at(has, F.lit(1)))
     return x.withColumn("story", F.transform(F.filter("blocks", lambda b: (b["path"] == F.col("path")) & (b["linked"] < 0.5)), lambda b: b["text"])).drop("paths")

@@ -199,9 +199,14 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Lines of problem 7 are no story paragraphs.
     repeated = lines.frequent_lines(_articles_with_portal(spark, sf_dir), "portal_id", "content_text").select(F.col("source").alias("portal_id"), "h")
     some = repeated.limit(MAX_BROADCAST_ROWS + 1).collect()
+    on = ["portal_id", "h"]
     if len(some) <= MAX_BROADCAST_ROWS:
         repeated = F.broadcast(spark.createDataFrame(some, repeated.schema))
-    kept = found.join(repeated, ["portal_id", "h"], "left_anti")
+    else:  # as in ``lines``: a repeated line is a hot key, so its records are spread
+        on = [*on, "salt"]
+        found = found.withColumn("salt", F.pmod(F.xxhash64("rec_id"), F.lit(lines.SALT)).cast("int"))
+        repeated = repeated.select("*", F.explode(F.sequence(F.lit(0), F.lit(lines.SALT - 1))).alias("salt"))
+    kept = found.join(repeated, on, "left_anti")
     return kept.select("rec_kind", "rec_id", F.md5(F.col("line").cast("binary")).alias("line_md5")).distinct()
 
 

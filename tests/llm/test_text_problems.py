@@ -218,6 +218,7 @@ def test_long_frame_lines_are_judged_like_short_ones(spark):
 def test_a_dictionary_of_any_size(spark, monkeypatch):
     want = queries.p4_found(spark, "/root/testdata/sf0.01").collect()
     monkeypatch.setattr(queries, "MAX_BROADCAST_ROWS", 1)
+    monkeypatch.setattr(boilerplate, "MAX_BROADCAST_ROWS", 1)
     got = queries.p4_found(spark, "/root/testdata/sf0.01").collect()
     assert sum(r.rec_kind == "articles" for r in want) > 0
     assert sorted(map(tuple, got)) == sorted(map(tuple, want))
