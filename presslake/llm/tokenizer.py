@@ -103,8 +103,17 @@ def vocabulary(texts: DataFrame, text: str, ranks: dict[bytes, int]) -> DataFram
     return checkpointed(counted.select("word", "n", encode_word(F.col("word"), _rank_table(ranks)).alias("ids")))
 
 
+def _short_plans(df: DataFrame) -> None:
+    """Let descriptions of plans end where they get long, unless the session says how long: the constants make them many MB,
+    of which the driver keeps one for every job."""
+    conf = df.sparkSession.conf
+    if int(conf.get("spark.sql.maxPlanStringLength")) > 1 << 30:
+        conf.set("spark.sql.maxPlanStringLength", str(1 << 17))
+
+
 def encode_texts(df: DataFrame, key: str, text: str, out: str = "ids", tokenizer: str = "byte_bpe_50k", folder: str = TOKENIZER_DIR, keep: tuple[str, ...] = ()) -> DataFrame:
     """(key, keep..., out) with the token ids of ``text``; ``key`` must be unique, ``keep`` must not be named k, t or m."""
+    _short_plans(df)
     ranks = load_ranks(tokenizer, folder)
     docs = df.select(F.col(key).alias("k"), F.col(text).alias("t"), *keep)
     vocab = vocabulary(docs, "t", ranks)
