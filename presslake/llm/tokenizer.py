@@ -107,7 +107,8 @@ def _short_plans(df: DataFrame) -> None:
     """Let descriptions of plans end where they get long, unless the session says how long: the constants make them many MB,
     of which the driver keeps one for every job."""
     conf = df.sparkSession.conf
-    if int(conf.get("spark.sql.maxPlanStringLength")) > 1 << 30:
+    said = conf.get("spark.sql.maxPlanStringLength").lower()
+    if said.rstrip("b").isdigit() and int(said.rstrip("b")) > 1 << 30:
         conf.set("spark.sql.maxPlanStringLength", str(1 << 17))
 
 
