@@ -412,3 +412,61 @@ def kept_columns(spark: SparkSession, d: str) -> DataFrame:
     """Columns of the records after the obsolete ones were dropped."""
     kept = table(spark, d, "news").drop("origin_url", "desired_state", "no_such_column").columns
     return spark.createDataFrame([(c,) for c in sorted(kept)], "column_name string")
+
+
+# Addresses, sitemaps, id windows and whole records.
+
+
+@query("SELECT id, CASE WHEN coalesce(trim(article_url), '') = '' THEN '' WHEN regexp_matches(trim(article_url), '^[A-Za-z][A-Za-z0-9+.-]*:') THEN trim(article_url) WHEN starts_with(trim(article_url), '/') THEN 'https://portal.example' || trim(article_url) ELSE 'https://portal.example/az/' || trim(article_url) END AS url, CASE WHEN lower(regexp_extract(trim(article_url), '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)) IN ('gundemxett.example', 'xezersoz.example') THEN regexp_replace(trim(article_url), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*', 'https://az.example') ELSE trim(article_url) END AS one_host FROM articles")
+def absolute_urls(spark: SparkSession, d: str) -> DataFrame:
+    """Addresses as seen from a page, and with several hosts as one."""
+    u = F.col("article_url")
+    return table(spark, d, "articles").select("id", urls.make_absolute_url(F.lit("https://portal.example/az/index"), u).alias("url"), urls.unify_host(u, ["gundemxett.example", "xezersoz.example"], "https://az.example").alias("one_host"))
+
+
+@query("SELECT source_name, page, row_number() OVER (PARTITION BY source_name, page ORDER BY seq) AS pos, url AS loc, published_at AS lastmod FROM (SELECT source_name, seq, seq // 50 AS page, trim(regexp_replace(url, '[<>&]', '', 'g')) AS url, trim(regexp_replace(coalesce(published_at, ''), '[<>&]', '', 'g')) AS published_at FROM candidates)")
+def sitemap_entries(spark: SparkSession, d: str) -> DataFrame:
+    """Sitemaps of the candidates, fifty at a time, written and read again by position."""
+    clean = lambda c: F.trim(F.regexp_replace(blank(c), "[<>&]", ""))
+    c = table(spark, d, "candidates").select("source_name", "seq", F.floor(F.col("seq") / 50).alias("page"), F.concat(F.lit("<url><loc>"), clean("url"), F.lit("</loc><lastmod>"), clean("published_at"), F.lit("</lastmod></url>")).alias("x"))
+    xml = c.groupBy("source_name", "page").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "x"))), lambda e: e["x"]), "\n").alias("xml"))  # at most fifty
+    e = xml.select("source_name", "page", F.posexplode(html.zipped_sitemap(F.col("xml"))).alias("p", "e"))
+    return e.select("source_name", "page", (F.col("p") + 1).cast("bigint").alias("pos"), F.col("e.loc").alias("loc"), F.col("e.lastmod").alias("lastmod"))
+
+
+@query("SELECT source_name, 'forward' AS direction, unnest(range(coalesce(max(source_article_id), 0) + 1, coalesce(max(source_article_id), 0) + 21)) AS probe FROM articles GROUP BY source_name UNION ALL SELECT source_name, 'backward', unnest(range(greatest(coalesce(min(source_article_id), 1000) - 20, 1), coalesce(min(source_article_id), 1000))) FROM articles GROUP BY source_name")
+def id_windows(spark: SparkSession, d: str) -> DataFrame:
+    """Ids to probe beyond the highest and below the lowest known id of each source, with a start where none is known."""
+    a = table(spark, d, "articles").groupBy("source_name").agg(F.coalesce(F.max("source_article_id"), F.lit(0)).alias("hi"), F.coalesce(F.min("source_article_id"), F.lit(1000)).alias("lo"))
+    up = a.select("source_name", F.lit("forward").alias("direction"), F.explode(F.sequence(F.col("hi") + 1, F.col("hi") + 20)).alias("probe"))
+    low = F.greatest(F.col("lo") - 20, F.lit(1))
+    return up.unionByName(a.where(low < F.col("lo")).select("source_name", F.lit("backward").alias("direction"), F.explode(F.sequence(F.col("lo") - 1, low)).alias("probe")))
+
+
+_FIELDS = ["title", "category", "content_text", "article_url", "image_url", "published_at", "fetched_at", "content_hash"]
+_NOW = "2026-07-01T00:00:00Z"
+
+
+@query(
+    "SELECT source_name, source_article_id, " + ", ".join(f"coalesce(arg_max(coalesce({f}, ''), id) FILTER (late), arg_max(coalesce({f}, ''), id)) AS {f}" for f in _FIELDS if f not in ("published_at", "fetched_at"))
+    + f", coalesce(arg_max(shown, id) FILTER (late), arg_max(shown, id)) AS published_at, CASE WHEN bool_or(late) THEN '{_NOW}' ELSE arg_max(coalesce(fetched_at, ''), id) END AS fetched_at, "
+    "CASE WHEN NOT bool_or(late) THEN 'unchanged' WHEN bool_and(late) THEN 'inserted' ELSE 'updated' END AS action FROM (SELECT *, id % 2 = 0 AS late, CASE WHEN coalesce(published_at, '') <> '' THEN published_at ELSE 'Tarix: ' || coalesce(fetched_at, '') END AS shown FROM articles) GROUP BY source_name, source_article_id"
+)
+def upserted_records(spark: SparkSession, d: str) -> DataFrame:
+    """A store of the deliveries with odd ids after those with even ids: all columns, the raw date where there is no other, the time of the run."""
+    key = ["source_name", "source_article_id"]
+    a = table(spark, d, "articles")
+    shown = F.when(blank("published_at") != "", F.col("published_at")).otherwise(F.concat(F.lit("Tarix: "), blank("fetched_at")))
+    rows = a.select(*key, "id", *[(shown if f == "published_at" else blank(f)).alias(f) for f in _FIELDS])
+    base = merge.keep_last(rows.where("id % 2 = 1"), key, ["id"])
+    delta = rows.where("id % 2 = 0").withColumn("fetched_at", F.lit(_NOW))
+    return merge.upsert(base, delta, key, ["id"]).drop("id")
+
+
+@query("SELECT count(*) AS n_rows, count(DISTINCT source_name) AS n_sources, count(*) FILTER (content_hash = sha256(coalesce(content_text, ''))) AS n_true_hashes, max(source_article_id) AS max_id, coalesce(min(source_article_id) FILTER (source_name = 'no such source'), 500000) AS start_id FROM articles")
+def store_figures(spark: SparkSession, d: str) -> DataFrame:
+    """Figures of the whole store; the start of a backfill is a constant where nothing is known."""
+    return table(spark, d, "articles").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("source_name").alias("n_sources"), F.count_if(F.col("content_hash") == text.sha256_text(F.col("content_text"))).alias("n_true_hashes"),
+        F.max("source_article_id").alias("max_id"), F.coalesce(F.min(F.when(F.col("source_name") == "no such source", F.col("source_article_id"))), F.lit(500000)).alias("start_id"),
+    )
