@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from presslake.functions import dates, html, text, urls
 from presslake.operators import guards, merge
+from presslake.plans.ingestion import SQL as LISTING_SQL
 from presslake.plans.ingestion import _LAST, _LOWER, _NORM, _URL, _WS, us
 from presslake.session import table
 
@@ -470,3 +471,30 @@ def store_figures(spark: SparkSession, d: str) -> DataFrame:
         F.count(F.lit(1)).alias("n_rows"), F.countDistinct("source_name").alias("n_sources"), F.count_if(F.col("content_hash") == text.sha256_text(F.col("content_text"))).alias("n_true_hashes"),
         F.max("source_article_id").alias("max_id"), F.coalesce(F.min(F.when(F.col("source_name") == "no such source", F.col("source_article_id"))), F.lit(500000)).alias("start_id"),
     )
+
+
+_ZONED = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})$"
+
+
+@query(
+    "SELECT c.seq, CASE WHEN l.list_date = '' THEN '' ELSE l.list_date || 'T09:05:00+04:00' END AS with_clock, l.list_date AS bad_clock, CASE WHEN l.list_date = '' THEN '' ELSE l.list_date || 'T12:04:00+04:00' END AS bracketed, "
+    f"CASE WHEN l.list_date = '' THEN trim({_E(_NORM('c.list_date_text'))} || ' 23:10') ELSE l.list_date || 'T23:10:00+04:00' END AS visible, CASE WHEN l.list_date = '' THEN '' ELSE l.list_date || 'T09:05:00+04:00' END AS card, "
+    f"coalesce(CASE WHEN regexp_matches({_NORM('c.published_at')}, '{_ZONED}') THEN strftime(make_timestamp(epoch_us(try_cast(regexp_replace({_NORM('c.published_at')}, '([+-]\d{{2}})(\d{{2}})$', '\1:\2') AS TIMESTAMPTZ)) + 14400000000), '%Y-%m-%dT%H:%M:%S') || '+04:00' END, '') AS fixed_offset "
+    f"FROM candidates c JOIN ({LISTING_SQL['listing_dates']}) l ON l.seq = c.seq"
+)
+def listing_times(spark: SparkSession, d: str) -> DataFrame:
+    """Times of listings, as cards and pages show them; the year of the run is 2026."""
+    day, year = F.col("list_date_text"), F.lit(2026)
+    with_ = lambda tail: F.concat(blank("list_date_text"), F.lit(tail))
+    return table(spark, d, "candidates").select(
+        "seq", dates.azerbaijani_datetime(day, F.lit("9:05"), year).alias("with_clock"), dates.azerbaijani_datetime(day, F.lit("25:05"), year).alias("bad_clock"), dates.apa_datetime(with_(" 12:04 (UTC +04:00)"), year).alias("bracketed"),
+        dates.visible_datetime(with_(" 23:10"), year).alias("visible"), dates.card_datetime(day, F.lit("09:05"), year).alias("card"), dates.at_fixed_offset(F.col("published_at")).alias("fixed_offset"),
+    )
+
+
+@query(r"SELECT id, regexp_replace(coalesce(content_text, ''), '[^\x{20}-\x{7e}\x{a1}-\x{ff}]', '', 'g') AS restored FROM articles")
+def restored_latin(spark: SparkSession, d: str) -> DataFrame:
+    """Latin text read as latin-1 and restored: each article's letters up to U+00FF, garbled and brought back."""
+    kept = F.regexp_replace(blank("content_text"), r"[^\x20-\x7e\u00a1-\u00ff]", "")
+    garbled = F.decode(F.encode(kept, "UTF-8"), "ISO-8859-1")
+    return table(spark, d, "articles").select("id", text.fix_utf8_mojibake(garbled).alias("restored"))
