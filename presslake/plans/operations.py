@@ -479,7 +479,7 @@ _ZONED = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})$"
 @query(
     "SELECT c.seq, CASE WHEN l.list_date = '' THEN '' ELSE l.list_date || 'T09:05:00+04:00' END AS with_clock, l.list_date AS bad_clock, CASE WHEN l.list_date = '' THEN '' ELSE l.list_date || 'T12:04:00+04:00' END AS bracketed, "
     f"CASE WHEN l.list_date = '' THEN trim({_E(_NORM('c.list_date_text'))} || ' 23:10') ELSE l.list_date || 'T23:10:00+04:00' END AS visible, CASE WHEN l.list_date = '' THEN '' ELSE l.list_date || 'T09:05:00+04:00' END AS card, "
-    f"coalesce(CASE WHEN regexp_matches({_NORM('c.published_at')}, '{_ZONED}') THEN strftime(make_timestamp(epoch_us(try_cast(regexp_replace({_NORM('c.published_at')}, '([+-]\d{{2}})(\d{{2}})$', '\1:\2') AS TIMESTAMPTZ)) + 14400000000), '%Y-%m-%dT%H:%M:%S') || '+04:00' END, '') AS fixed_offset "
+    rf"coalesce(CASE WHEN regexp_matches({_NORM('c.published_at')}, '{_ZONED}') THEN strftime(make_timestamp(epoch_us(try_cast(regexp_replace({_NORM('c.published_at')}, '([+-]\d{{2}})(\d{{2}})$', '\1:\2') AS TIMESTAMPTZ)) + 14400000000), '%Y-%m-%dT%H:%M:%S') || '+04:00' END, '') AS fixed_offset "
     f"FROM candidates c JOIN ({LISTING_SQL['listing_dates']}) l ON l.seq = c.seq"
 )
 def listing_times(spark: SparkSession, d: str) -> DataFrame:
