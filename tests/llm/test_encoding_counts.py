@@ -1,3 +1,4 @@
+import re
 from collections import Counter
 
 import pytest
@@ -23,14 +24,15 @@ def test_every_text_is_in_the_dictionary(spark):
 def test_counts_against_brute_force(spark, monkeypatch, bounds):
     for name, value in bounds.items():
         monkeypatch.setattr(encoding, name, value)
-    texts = [("az", "bir iki üç\nbir iki 5 üç  dörd"), ("az", None), ("az", ""), ("ru", "и вот\tон и вот"), ("az", "bir iki\n\n"), ("de", "ein Text"), (None, "x y"), ("ru", "слово два")] * 30
+    texts = [("az", "bir iki üç\nbir iki 5 üç  dörd"), ("az", None), ("az", ""), ("ru", "и вот\tон и\xa0вот"), ("az", "bir iki\n\n"), ("de", "ein Text"), (None, "x y"), ("ru", "слово два")] * 30
     df = spark.createDataFrame([(i, *x) for i, x in enumerate(texts)], "id int, lang string, t string").repartition(3)
     want = Counter()
     for lang, t in texts:
         for run in encoding._BREAK.split(t or "") if lang in encoding.LANGS else ():
-            words = run.split(" ")
-            want.update((lang, 1, w) for w in words if w)
-            want.update((lang, 2, f"{a} {b}") for a, b in zip(words, words[1:]) if a and b)
+            words = re.findall(r"[^\s]*[\t\xa0]|[^\s]*(?: |$)", run)  # each with what ends it
+            plain = [w.rstrip(" ") for w in words]
+            want.update((lang, 1, w) for w in plain if w)
+            want.update((lang, 2, a + b) for a, b, w in zip(words, plain[1:], plain) if w and b)
     got = [((r.code, r.n_words, r.phrase), r.n) for r in encoding.phrase_counts(df, "lang", "t").collect()]
     assert len(got) == len(want) and dict(got) == want
 
