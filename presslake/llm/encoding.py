@@ -43,6 +43,8 @@ READABLE = 1.0
 BEYOND_ASCII = r"[^\x00-\x7f]"
 #: Bounds of the dictionaries: bytes of one, and words (and as many pairs of words) of a language that come into question for it.
 DICT_BYTES, DICT_PHRASES = 64 * 1024, 8192
+#: Bytes that a phrase of the dictionary takes where a text has it.
+MATCH_BYTES = 3
 #: Words of the text that a dictionary's entropy tables are fitted on, and of a line of it.
 TYPICAL_WORDS, LINE_WORDS = 60_000, 15
 #: Letters that a task counts at once, and pairs of words that it holds before it passes them on.
@@ -257,16 +259,16 @@ def dictionary_of(phrases: list[str], words: list[tuple[str, int]]) -> bytes:
 
 
 def train_dictionaries(texts: DataFrame, key: str, lang: str, text: str) -> list[bytes]:
-    """One zstandard dictionary per language, of the words and pairs of words that make up most bytes of all its texts.
+    """One zstandard dictionary per language, of the words and pairs of words that save most bytes of all its texts for each of their own.
 
     Every text is counted, so no ``key`` has to be chosen. Counts are exact and don't depend on how rows are spread.
     """
-    size = F.col("n") * F.octet_length("phrase")
-    ranked = phrase_counts(texts, lang, text)
+    size = F.octet_length("phrase")
+    ranked = phrase_counts(texts, lang, text).withColumn("saved", F.col("n") * F.greatest(size - MATCH_BYTES, F.lit(0)) / size)
     for within in (["code", "n_words", "part"], ["code", "n_words"]):  # the first of all parts are among the first of each
-        place = F.row_number().over(Window.partitionBy(*within).orderBy(size.desc(), "phrase"))
+        place = F.row_number().over(Window.partitionBy(*within).orderBy(F.col("saved").desc(), "phrase"))
         ranked = ranked.withColumn("place", place).where(F.col("place") <= DICT_PHRASES)
-    rows = sorted(bounded_rows(ranked, 2 * DICT_PHRASES * len(LANGS), "phrases"), key=lambda r: (-r.n * len(r.phrase.encode("utf-8", "surrogatepass")), r.phrase))
+    rows = sorted(bounded_rows(ranked, 2 * DICT_PHRASES * len(LANGS), "phrases"), key=lambda r: (-r.saved, r.phrase))
     total: Counter = Counter()
     for r in rows:
         total[r.phrase] += r.n

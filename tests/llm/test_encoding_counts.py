@@ -51,3 +51,11 @@ def test_wrongly_decoded_phrases_are_not_learnt(spark):
     rows = [(i, "tr", good if i % 3 else once if i % 2 else twice) for i in range(60)]
     (made,) = encoding.train_dictionaries(spark.createDataFrame(rows, "id int, lang string, t string"), "id", "lang", "t")
     assert good.encode() in made and once.encode() not in made and twice.encode() not in made
+
+
+def test_frequent_short_pairs_come_before_rare_long_ones(spark, monkeypatch):
+    monkeypatch.setattr(encoding, "DICT_BYTES", 64)
+    lines = ["Bir · iki"] * 50 + ["uzunuzunuzunuzun başqabaşqabaşqabaşqa"] * 20  # most bytes in all, but fewer saved for each of its own
+    df = spark.createDataFrame([(i, "az", t) for i, t in enumerate(lines)], "id int, lang string, t string")
+    (made,) = encoding.train_dictionaries(df, "id", "lang", "t")
+    assert "Bir · iki".encode() in made or ("Bir ·".encode() in made and "· iki".encode() in made)
